@@ -5,8 +5,8 @@
    so passages that many documents share rarely become keys. Any one order is exact: sets of the wanted similarity share a key
    of their prefixes.
 3. Keys are dealt to buckets in packed blocks; keys held by one set are dropped there.
-4. First links: each set against the smallest set of each of its keys. Only keys whose sets are still in different components
-   go on, as size-banded tiles: sets of a key are split by size band and into bounded blocks, and compared by their bitmaps.
+4. First links: each set against the sets that its keys suggest most. Only keys whose sets are still in different components
+   go on (closest pairs first, then every pair), as size-banded tiles: sets of a key are split by size band and into bounded blocks, and compared by their bitmaps.
    A parity bitmap with as many bits as the set has n-grams bounds the overlap from above by its bit count.
 5. Pairs that pass are settled by exact intersection of the sorted arrays, one set against its partners at a time.
 
@@ -24,13 +24,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leasegrid.llm.shared import connected, slices, written
 
 HEAVY_CHUNK = 4_000_000
-BLOCK = 2048
+BLOCK = 512
+#: Partners that a set is first tried with.
+FIRST = 3
 M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -235,25 +237,30 @@ def _bounded(percent: int):
     return passed
 
 
-def _tile_pairs(ids, n, comp, side, bits, percent: int) -> list:
-    """Pairs of one tile that may link, by sizes and bit counts. side: 0 left, 1 right, 2 both. The smaller set is on the left."""
+def _tile_pairs(ids, n, comp, side, bits, percent: int, nearest: int | None) -> list:
+    """Pairs of one tile that may link, by sizes and bit counts. side: 0 left, 1 right, 2 both. The smaller set is on the left.
+
+    With `nearest`, each left row gives only its so many closest partners by bit count: the cheap round that comes first.
+    """
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     found, widths = [], {}
     for j in right:
         widths.setdefault(len(bits[j]), []).append(j)
     groups = [(w, np.array(js), np.frombuffer(b"".join(bits[j] for j in js), np.uint8).reshape(len(js), w)) for w, js in widths.items()]
     for i in left:
-        own = np.frombuffer(bits[i], np.uint8)
+        own, mine = np.frombuffer(bits[i], np.uint8), []
         for w, js, m in groups:
             near = np.flatnonzero(((n[i] < n[js]) | ((n[i] == n[js]) & (ids[i] < ids[js]))) & (100 * n[i] >= percent * n[js]) & (comp[i] != comp[js]))
             if len(near):
                 low, total = min(w, len(own)), n[i] + n[js[near]]
                 differ = np.bitwise_count(fold(m[near], low) ^ fold(own, low)).sum(axis=1, dtype=np.int64)
-                found += [(ids[i], j) for j in ids[js[near[(total - differ) // 2 >= least_shared(total, percent)]]].tolist()]
+                ok = (total - differ) // 2 >= least_shared(total, percent)
+                mine += zip(differ[ok].tolist(), ids[js[near[ok]]].tolist(), strict=True)
+        found += [(ids[i], j) for _, j in (mine if nearest is None else sorted(mine)[:nearest])]
     return found
 
 
-def _tiled(percent: int):
+def _tiled(percent: int, nearest: int | None):
     """Walks a partition sorted by tile; a tile (key, band, x, y) has a bounded number of rows."""
 
     def pairs(batches):
@@ -276,7 +283,7 @@ def _tiled(percent: int):
         ids, n, comp, side = (table.column(c).to_numpy() for c in ("set", "n", "comp", "side"))
         bits, found = table.column("bits").to_pylist(), set()
         for i, j in zip(cut[:-1], cut[1:], strict=True):
-            found.update(_tile_pairs(ids[i:j], n[i:j], comp[i:j], side[i:j], bits[i:j], percent))
+            found.update(_tile_pairs(ids[i:j], n[i:j], comp[i:j], side[i:j], bits[i:j], percent, nearest))
         a = np.array(list(found), dtype=np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(a.min(axis=1, initial=2**63 - 1)), pa.array(a.max(axis=1, initial=-(2**63)))], names=["a", "b"])
 
@@ -327,6 +334,25 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, percen
     return written(dealt.mapInArrow(_exact(percent), "a long, b long"), "links")
 
 
+def _open_pairs(posts: DataFrame, reps: DataFrame, near: DataFrame, percent: int, nearest: int | None) -> DataFrame:
+    """Distinct pairs of sets in different components that share a key and may link by their bit counts."""
+    left = written(posts.join(near.withColumnRenamed("node", "set"), "set", "left").select("key", "set", "n", F.coalesce("component", "set").alias("comp")), "left")
+    open_ = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi").select("key", "size")
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
+    tiles = left.join(open_, "key").select("key", "set", "n", "comp", band.alias("band"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    tiles = tiles.join(reps.select("set", "bits"), "set").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    # Keys of one block are one tile. Else a set is on the left of its own band and on the right of its own and the one
+    # below, and blocks of a key meet in every pair.
+    head = ["key", "set", "n", "comp", "bits"]
+    lone = tiles.where("blocks = 1").select(*head, F.lit(2).alias("side"), F.lit(-1).alias("band"), F.lit(0).alias("x"), F.lit(0).alias("y"))
+    tiles = tiles.where("blocks > 1").withColumn("other", F.sequence(F.lit(0), F.col("blocks") - 1))
+    lefts = tiles.select(*head, F.lit(0).alias("side"), "band", F.col("block").alias("x"), F.explode("other").alias("y"))
+    rights = tiles.select(*head, F.lit(1).alias("side"), F.explode(F.array("band", F.col("band") - 1)).alias("band"), "block", "other")
+    rights = rights.select(*head, "side", "band", F.explode("other").alias("x"), F.col("block").alias("y"))
+    by = ["key", "band", "x", "y"]
+    return lone.unionByName(lefts).unionByName(rights).repartition(*by).sortWithinPartitions(*by).mapInArrow(_tiled(percent, nearest), "a long, b long").distinct()
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, share: int = 2000, buckets: int | None = None) -> DataFrame:
     """(id_col, n_shingles, component_id) for each row of docs; component_id is the smallest id reachable by links, itself included."""
     if not 50 <= percent <= 100:
@@ -344,34 +370,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     reps = written(reps, "ngram-sets")
     posts = posts.join(reps.select("set", "n"), "set")
 
-    # First links: the smallest set of each key against the others of that key.
-    first = posts.groupBy("key").agg(F.min("set").alias("a"))
-    pairs = posts.join(first, "key").where("set <> a").select("a", F.col("set").alias("b"), F.col("n").alias("nb")).distinct()
+    # First links: of each key, the set with most shared keys (the likely origin of copies) against the others; a set
+    # is tried with the FIRST such partners that it shares most keys with.
+    posts = written(posts.join(posts.groupBy("set").agg(F.count(F.lit(1)).alias("shared")), "set"), "shared")
+    lead = posts.groupBy("key").agg(F.max(F.struct("shared", "set")).alias("r")).select("key", F.col("r.set").alias("a"))
+    pairs = posts.join(lead, "key").where("set <> a").groupBy("a", F.col("set").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("nb"))
+    best = Window.partitionBy("b").orderBy(F.desc("c"), "a")
+    pairs = pairs.withColumn("r", F.row_number().over(best)).where(F.col("r") <= FIRST).select("a", "b", "nb")
     a, b = reps.select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba")), reps.select(F.col("set").alias("b"), F.col("bits").alias("bb"))
     pairs = pairs.join(a, "a").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).join(b, "b").select("a", "b", "na", "nb", "ba", "bb")
     links = _verified(written(pairs.mapInArrow(_bounded(percent), "a long, b long"), "pairs"), reps, docs, n, percent)
-    near = written(connected(links), "near")
 
-    # What is left: keys whose sets lie in different components.
-    comp = F.coalesce("component", "set").alias("comp")
-    left = written(posts.join(near.withColumnRenamed("node", "set"), "set", "left").select("key", "set", "n", comp), "left")
-    open_ = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi").select("key", "size")
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    tiles = left.join(open_, "key").select("key", "set", "n", "comp", band.alias("band"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    tiles = tiles.join(reps.select("set", "bits"), "set").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
-    # Keys of one block are one tile. Else a set is on the left of its own band and on the right of its own and the one
-    # below, and blocks of a key meet in every pair.
-    head = ["key", "set", "n", "comp", "bits"]
-    lone = tiles.where("blocks = 1").select(*head, F.lit(2).alias("side"), F.lit(-1).alias("band"), F.lit(0).alias("x"), F.lit(0).alias("y"))
-    tiles = tiles.where("blocks > 1").withColumn("other", F.sequence(F.lit(0), F.col("blocks") - 1))
-    lefts = tiles.select(*head, F.lit(0).alias("side"), "band", F.col("block").alias("x"), F.explode("other").alias("y"))
-    rights = tiles.select(*head, F.lit(1).alias("side"), F.explode(F.array("band", F.col("band") - 1)).alias("band"), "block", "other")
-    rights = rights.select(*head, "side", "band", F.explode("other").alias("x"), F.col("block").alias("y"))
-    by = ["key", "band", "x", "y"]
-    more = lone.unionByName(lefts).unionByName(rights).repartition(*by).sortWithinPartitions(*by).mapInArrow(_tiled(percent), "a long, b long").distinct()
-    more = written(more, "pairs")
-    if more.limit(1).count():
-        links = links.union(_verified(more, reps, docs, n, percent))
+    # What is left: keys whose sets lie in different components; each set's closest partners first, then every pair.
+    for nearest in (FIRST, None):
+        near = written(connected(links), "near")
+        more = written(_open_pairs(posts, reps, near, percent, nearest), "pairs")
+        if not more.limit(1).count():
+            break
+        links = written(links.union(_verified(more, reps, docs, n, percent)), "links")
 
     # Rows that share a set or a doc_id are one; the smallest document of each set stands for it.
     own = rows.where("doc is not null and set is not null").join(reps.select("set", F.col("doc").alias("rep")), "set").select("doc", "n", "rep")
