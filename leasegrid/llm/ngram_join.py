@@ -243,21 +243,33 @@ def _tile_pairs(ids, n, comp, side, bits, percent: int, nearest: int | None) ->
     With `nearest`, each left row gives only its so many closest partners by bit count: the cheap round that comes first.
     """
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    found, widths = [], {}
-    for j in right:
-        widths.setdefault(len(bits[j]), []).append(j)
-    groups = [(w, np.array(js), np.frombuffer(b"".join(bits[j] for j in js), np.uint8).reshape(len(js), w)) for w, js in widths.items()]
-    for i in left:
-        own, mine = np.frombuffer(bits[i], np.uint8), []
-        for w, js, m in groups:
-            near = np.flatnonzero(((n[i] < n[js]) | ((n[i] == n[js]) & (ids[i] < ids[js]))) & (100 * n[i] >= percent * n[js]) & (comp[i] != comp[js]))
-            if len(near):
-                low, total = min(w, len(own)), n[i] + n[js[near]]
-                differ = np.bitwise_count(fold(m[near], low) ^ fold(own, low)).sum(axis=1, dtype=np.int64)
-                ok = (total - differ) // 2 >= least_shared(total, percent)
-                mine += zip(differ[ok].tolist(), ids[js[near[ok]]].tolist(), strict=True)
-        found += [(ids[i], j) for _, j in (mine if nearest is None else sorted(mine)[:nearest])]
-    return found
+    na, nb = n[left][:, None], n[right][None, :]
+    near = ((na < nb) | ((na == nb) & (ids[left][:, None] < ids[right][None, :]))) & (100 * na >= percent * nb) & (comp[left][:, None] != comp[right][None, :])
+    i, j = np.nonzero(near)
+    if not len(i):
+        return []
+    i, j = left[i], right[j]
+    width = np.array([len(x) for x in bits])
+    differ = np.empty(len(i), dtype=np.int64)
+    # Bitmaps of one pair of widths at a time, folded to the narrower.
+    kinds = width[i] * (1 << 32) + width[j]
+    for kind in np.unique(kinds):
+        own = np.flatnonzero(kinds == kind)
+        low = int(min(width[i[own[0]]], width[j[own[0]]]))
+        rows, spot = np.unique(np.concatenate([i[own], j[own]]), return_inverse=True)
+        held = np.stack([fold(np.frombuffer(bits[r], np.uint8), low) for r in rows]).view(np.uint64)
+        for k in range(0, len(own), 65_536):
+            x, y = spot[: len(own)][k : k + 65_536], spot[len(own) :][k : k + 65_536]
+            differ[own[k : k + 65_536]] = np.bitwise_count(held[x] ^ held[y]).sum(axis=1, dtype=np.int64)
+    ok = (n[i] + n[j] - differ) // 2 >= least_shared(n[i] + n[j], percent)
+    i, j, differ = i[ok], j[ok], differ[ok]
+    if nearest is not None and len(i):
+        order = np.lexsort((ids[j], differ, i))
+        i, j = i[order], j[order]
+        start = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]]))
+        keep = np.arange(len(i)) - np.repeat(start, np.diff(np.append(start, len(i)))) < nearest
+        i, j = i[keep], j[keep]
+    return list(zip(ids[i].tolist(), ids[j].tolist(), strict=True))
 
 
 def _tiled(percent: int, nearest: int | None):
