@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from leasegrid.plans import analytics, extracting, property_api, scalars, state
+
 FLAGSHIP = "q_a08_stats"
+MODULES = (property_api, analytics, state, scalars, extracting)
 
 
 def queries() -> dict:
-    return {}
+    return {name: query for m in MODULES for name, (query, _) in m.ALL.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for m in MODULES for name, (_, sql) in m.ALL.items() if sql}
