@@ -142,9 +142,11 @@ class LanguageModel:
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", order: str = "doc_id", sample: int = 4000, switch: float = 12.0) -> LanguageModel:
-    """Learns from at most `sample` rows with text and lang, chosen by a hash of `order`; counts are made on the executors."""
-    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(order).alias("h"))
-    rows = rows.orderBy("h", "text").limit(sample).select("text", "lang").repartition(8)
+    """Learns from at most `sample` distinct rows with text and lang, chosen by a hash of `order` and the text; counts are made on the executors."""
+    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(order, text_col).alias("h"))
+    # Only hashes are sorted; the texts of the chosen rows are read by a filter.
+    most = rows.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    rows = rows.where(F.col("h") <= F.lit(most)).select("text", "lang").limit(2 * sample).repartition(8)
 
     def counted(batches):
         for batch in batches:
