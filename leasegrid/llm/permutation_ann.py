@@ -2,7 +2,7 @@
 
 Each vector is represented by the order of its pivots, nearest first, and posted in the inverted files of its `posted` nearest
 pivots. A query probes the files of its `probes` nearest pivots; each file ranks its vectors by the footrule distance between
-the two orders (sum of rank differences over all pivots), and the nearest part is reranked by the exact inner product in double
+the two orders (sum of rank differences over the query's `depth` nearest pivots), and the nearest part is reranked by the exact inner product in double
 precision. A vector met in several files counts in the query's first one only. Files are cut into blocks of bounded size,
 however many vectors have the same nearest pivots. All rows are indexed; only the pivots are a bounded sample.
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from leasegrid.llm.embedding_dedup import sorted_tiles
 from leasegrid.llm.vectors import matrix, pivots, unit, usable, usual_length
 
-BLOCK = 4096
+BLOCK = 16_384
 
 
 def _orders(x: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -67,23 +67,28 @@ def _dealt(vectors: DataFrame, length: int, p: np.ndarray, posted: int, probes:
     return vectors.mapInArrow(run, "pivot long, n long" if blocks is None else f"pivot int, block int, side int, id long, vec {kind}")
 
 
-def _search(table: pa.Table, length: int, p: np.ndarray, posted: int, probes: int, top: int, part: float, least: int) -> pa.RecordBatch:
+def _search(table: pa.Table, length: int, p: np.ndarray, posted: int, depth: int, top: int, part: float, least: int) -> pa.RecordBatch:
     side, pivot = table.column("side").to_numpy(), int(table.column("pivot")[0].as_py())
     ids, x = table.column("id").to_numpy(), matrix(table.column("vec").combine_chunks(), length)
     order = _orders(x, p)
     query, cand = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    cid, cx, ranks = ids[cand], x[cand], _ranks(order[cand])
-    in_file = np.zeros((len(cand), len(p)), dtype=bool)
-    np.put_along_axis(in_file, order[cand][:, :posted], True, axis=1)
+    cid, cx = ids[cand], x[cand]
+    # By pivot: each candidate's rank of it, and whether the candidate is in its file.
+    ranks = np.ascontiguousarray(_ranks(order[cand]).T.astype(np.int16))
+    in_file = ranks < posted
     qs, vs, scores = [], [], []
     for q in query if len(cand) else ():
-        before = order[q, : int(np.flatnonzero(order[q] == pivot)[0])]
-        mine = np.flatnonzero((cid != ids[q]) & ~in_file[:, before].any(axis=1))
+        own = order[q].tolist()
+        mine = cid != ids[q]
+        for before in own[: own.index(pivot)]:
+            mine &= ~in_file[before]
+        foot = np.zeros(len(cand), dtype=np.int16)
+        for at, name in enumerate(own[:depth]):
+            foot += np.abs(ranks[name] - np.int16(at))
+        mine = np.flatnonzero(mine)
         if not len(mine):
             continue
-        own, theirs = _ranks(order[q : q + 1])[0], ranks[mine]
-        foot = (np.maximum(theirs, own) - np.minimum(theirs, own)).sum(axis=1, dtype=np.int32)
-        k = max(least, int(np.ceil(part * len(mine))))
+        k, foot = max(least, int(np.ceil(part * len(mine)))), foot[mine]
         if k < len(mine):
             mine = mine[foot <= np.partition(foot, k - 1)[k - 1]]
         value = cx[mine] @ x[q]
@@ -91,7 +96,8 @@ def _search(table: pa.Table, length: int, p: np.ndarray, posted: int, probes: in
             mine = mine[value >= np.partition(value, -top)[-top] - 1e-9 * max(1.0, float(np.abs(value).max()))]
         # Element by element, so that equal vectors get equal scores wherever they lie.
         value = (cx[mine] * x[q]).sum(axis=1)
-        best = np.lexsort((cid[mine], -value))[: 2 * top]
+        best = np.lexsort((cid[mine], -value))
+        best = best[np.sort(np.unique(cid[mine][best], return_index=True)[1])][:top]
         qs.append(np.full(len(best), ids[q]))
         vs.append(cid[mine][best])
         scores.append(value[best])
@@ -99,7 +105,7 @@ def _search(table: pa.Table, length: int, p: np.ndarray, posted: int, probes: in
     return pa.RecordBatch.from_arrays([pa.array(join(qs, np.int64)), pa.array(join(vs, np.int64)), pa.array(join(scores, np.float64))], names=["query_id", "vec_id", "score"])
 
 
-def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", top: int = 20, n_pivots: int = 64, posted: int = 16, probes: int = 16, part: float = 0.4, least: int = 400) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", top: int = 20, n_pivots: int = 64, posted: int = 12, probes: int = 12, part: float = 0.35, least: int = 200, depth: int = 32) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that is_query marks, its `top` largest inner products found."""
     if not 1 <= n_pivots <= 255:
         raise ValueError("n_pivots must be from 1 to 255")
@@ -116,7 +122,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col
             blocks[r["pivot"]] = max(1, -(-r["n"] // BLOCK))
         by = ["pivot", "block"]
         tiles = _dealt(good, length, p, posted, probes, blocks).repartition(*by).sortWithinPartitions(*by)
-        found = tiles.mapInArrow(sorted_tiles(by, lambda t: _search(t, length, p, posted, probes, top, part, least)), kind)
+        found = tiles.mapInArrow(sorted_tiles(by, lambda t: _search(t, length, p, posted, depth, top, part, least)), kind)
     else:
         found = vectors.sparkSession.createDataFrame([], kind)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
