@@ -21,18 +21,23 @@ from leasegrid.llm.shared import written
 TYPES = {"string": "STRING", "integer": "BIGINT", "number": "(BIGINT|DOUBLE|DECIMAL.*)", "boolean": "BOOLEAN", "object": "OBJECT.*", "array": "ARRAY.*"}
 
 
+def _own(key: Column, row: Column) -> Column:
+    """key, or where it is null a value that meets nothing and differs from row to row, so that nulls don't meet in one task."""
+    return F.coalesce(key, F.concat(F.lit("\x00"), F.coalesce(row, F.lit(""))))
+
+
 def depths(calls: DataFrame) -> DataFrame:
     """(call_id, depth): how many calls come before on the chain of parents; null on or behind a cycle."""
     edges = calls.where("call_id is not null").groupBy("call_id").agg(F.min("parent_id").alias("parent_id"))
     known = edges.select(F.col("call_id").alias("known"))
-    start = edges.join(known, edges["parent_id"] == known["known"], "left").select("call_id", F.col("known").alias("up"), F.when(F.col("known").isNull(), 0).otherwise(1).cast("long").alias("depth"))
+    start = edges.join(known, _own(edges["parent_id"], edges["call_id"]) == known["known"], "left").select("call_id", F.col("known").alias("up"), F.when(F.col("known").isNull(), 0).otherwise(1).cast("long").alias("depth"))
     now = written(start, "calls")
     rounds = max(1, int(now.count()).bit_length() + 1)
     for _ in range(rounds):
         if not now.where("up is not null").limit(1).count():
             break
         ahead = now.select(F.col("call_id").alias("_id"), F.col("up").alias("_up"), F.col("depth").alias("_depth"))
-        now = written(now.join(ahead, now["up"] == ahead["_id"], "left").select("call_id", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")), "calls")
+        now = written(now.join(ahead, _own(now["up"], now["call_id"]) == ahead["_id"], "left").select("call_id", F.col("_up").alias("up"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")), "calls")
     return now.select("call_id", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
 
 
@@ -65,7 +70,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tupl
     order = depths(calls).select(F.col("call_id").alias("_call"), "depth")
     parents = calls.where("call_id is not null").select(F.col("call_id").alias("_parent")).distinct()
     rows = calls.join(got.hint("shuffle_hash"), calls["call_id"] == got["_id"], "left")
-    rows = rows.join(order, F.col("call_id") == F.col("_call"), "left").join(parents, F.col("parent_id") == F.col("_parent"), "left")
+    rows = rows.join(order, F.col("call_id") == F.col("_call"), "left").join(parents, _own(F.col("parent_id"), F.col("call_id")) == F.col("_parent"), "left")
     errors = F.concat(
         F.when(F.col("parent_id").isNotNull() & F.col("_parent").isNull(), F.array(F.lit("parent missing"))).otherwise(F.array().cast("array<string>")),
         F.when(F.col("call_id").isNotNull() & F.col("depth").isNull(), F.array(F.lit("cyclic"))).otherwise(F.array().cast("array<string>")),
