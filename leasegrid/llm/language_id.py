@@ -95,7 +95,7 @@ class LanguageModel:
     def word_scores(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         of, bins, count, script = trigrams(words)
         n = len(words)
-        scores = np.stack([np.bincount(of, weights=self.logp[bins, k], minlength=n)[:n] for k in range(len(self.langs))], axis=1)
+        scores = np.stack([np.bincount(of, weights=self.logp[bins, k], minlength=n)[:n] for k in range(len(self.langs))], axis=1).astype(np.float64)
         scores -= np.where(self.allowed[script] | (count == 0)[:, None], 0.0, SCRIPT_COST)
         return scores, count
 
