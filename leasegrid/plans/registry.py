@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from leasegrid.plans import analytics, extracting, more, property_api, scalars, state
+from leasegrid.plans import analytics, extracting, more, payload_queries, property_api, scalars, state
 
 FLAGSHIP = "q_a08_stats"
-MODULES = (property_api, analytics, state, scalars, extracting, more)
+MODULES = (property_api, analytics, state, scalars, extracting, more, payload_queries)
 
 
 def queries() -> dict:
