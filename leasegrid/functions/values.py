@@ -225,8 +225,15 @@ def us_date(c: Column) -> Column:
 
 # Decisions ------------------------------------------------------------------------------------------------------------
 def availability(c: Column) -> Column:
+    """Null for null; any text with "un" in it can't be available, unless one of the plain words says so."""
     t = F.lower(F.trim(c))
-    return F.when(t.isin("true", "yes", "1"), "AVAILABLE").when(t.isin("false", "no", "0"), "UNAVAILABLE").when(t.contains("unavail"), "UNAVAILABLE").when(t.contains("leased"), "LEASED").when(t.contains("available") & ~t.contains("un"), "AVAILABLE").otherwise("UNKNOWN")
+    return (
+        F.when(t.isin("true", "1", "yes", "y", "available"), "AVAILABLE")
+        .when(t.isin("false", "0", "no", "n", "unavailable", "leased"), "UNAVAILABLE")
+        .when(t.contains("avail") & ~t.contains("un"), "AVAILABLE")
+        .when(t.contains("unavail") | t.contains("leased"), "UNAVAILABLE")
+        .when(t.isNotNull(), "UNKNOWN")
+    )
 
 
 def property_status(c: Column) -> Column:
@@ -260,9 +267,5 @@ def retry_delay_ms(attempt: Column, base: int = 1000) -> Column:
     return F.lit(base) * F.pow(F.lit(2), attempt - 1)
 
 
-def fetch_outcome(status: Column) -> Column:
-    return F.when(status == 304, "NOT_MODIFIED").when(status.between(200, 299), "OK").when(status == 429, "RATE_LIMITED").when(status.isin(401, 403), "BLOCKED").when(status.isin(404, 410), "HARD_FAIL").when(status >= 500, "TRANSIENT").otherwise("UNKNOWN")
-
-
 def maturity(successes: Column, failures: Column) -> Column:
     return F.when(failures >= 3, "COLD").when(successes >= 3, "HOT").when(successes >= 1, "WARM").otherwise("COLD")

@@ -161,10 +161,10 @@ def backoff(spark, d):
     return table(spark, d, "events").select("event_id", v.retry_delay_ms(F.col("event_id") % 5 + 1).cast("bigint").alias("delay_ms"))
 
 
-@query("q_f32_fetch_mode", "SELECT o_orderkey, CASE WHEN date_diff('day', o_orderdate::DATE, DATE '1998-08-01') > 1000 THEN 'RENDER' WHEN o_orderpriority = '1-URGENT' THEN 'HEAD' WHEN o_orderpriority = '2-HIGH' THEN 'GET' ELSE 'RENDER' END AS mode FROM orders")
+@query("q_f32_fetch_mode", "SELECT o_orderkey, CASE WHEN date_diff('day', o_orderdate::DATE, DATE '1998-08-01') > 1000 THEN 'RENDER' WHEN o_orderpriority = '1-URGENT' THEN 'GET' WHEN o_orderpriority = '2-HIGH' THEN 'GET' ELSE 'RENDER' END AS mode FROM orders")
 def fetch_mode(spark, d):
     age = F.datediff(F.lit("1998-08-01").cast("date"), F.to_date("o_orderdate"))
-    mode = F.when(age > 1000, "RENDER").when(F.col("o_orderpriority") == "1-URGENT", "HEAD").when(F.col("o_orderpriority") == "2-HIGH", "GET").otherwise("RENDER")
+    mode = F.when(age > 1000, "RENDER").when(F.col("o_orderpriority") == "1-URGENT", "GET").when(F.col("o_orderpriority") == "2-HIGH", "GET").otherwise("RENDER")
     return table(spark, d, "orders").select("o_orderkey", mode.alias("mode"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from leasegrid.functions import decisions
 from leasegrid.functions import values as v
 from leasegrid.plans.tables import properties, table
 
@@ -85,12 +86,14 @@ def dates(spark, d):
     return o.select("o_orderkey", v.iso_date(F.date_format("o_orderdate", "MM/dd/yyyy")).alias("a"), v.us_date(F.date_format("o_orderdate", "M/d/yyyy")).alias("b"))
 
 
-@query("q_f31_outcome", "SELECT event_id, CASE WHEN s = 304 THEN 'NOT_MODIFIED' WHEN s BETWEEN 200 AND 299 THEN 'OK' WHEN s = 429 THEN 'RATE_LIMITED' WHEN s IN (401, 403) THEN 'BLOCKED' WHEN s IN (404, 410) THEN 'HARD_FAIL' WHEN s >= 500 THEN 'TRANSIENT' ELSE 'UNKNOWN' END AS outcome FROM (SELECT event_id, 200 + event_id % 400 AS s FROM events)")
+@query("q_f31_outcome", """SELECT event_id, CASE WHEN s BETWEEN 200 AND 299 THEN 'OK' WHEN s = 304 THEN 'NOT_MODIFIED' WHEN s = 407 THEN 'PROXY_ERROR' WHEN s = 429 THEN 'RATE_LIMITED' WHEN s BETWEEN 400 AND 499 THEN 'HARD_FAIL' ELSE 'TRANSIENT' END AS outcome
+FROM (SELECT event_id, 200 + event_id % 400 AS s FROM events)""")
 def outcome(spark, d):
-    return table(spark, d, "events").select("event_id", v.fetch_outcome(200 + F.col("event_id") % 400).alias("outcome"))
+    made = decisions.classify_response(200 + F.col("event_id") % 400, F.col("props"), F.lit(None).cast("string"))
+    return table(spark, d, "events").select("event_id", made["outcome"].alias("outcome"))
 
 
-@query("q_f23_availability", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 'AVAILABLE' WHEN o_orderstatus = 'F' THEN 'LEASED' ELSE 'UNKNOWN' END AS status FROM orders")
+@query("q_f23_availability", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN 'AVAILABLE' WHEN o_orderstatus = 'F' THEN 'UNAVAILABLE' ELSE 'UNKNOWN' END AS status FROM orders")
 def availability(spark, d):
     text = F.when(F.col("o_orderstatus") == "O", "Available now").when(F.col("o_orderstatus") == "F", "Leased").otherwise("available June 1")
     return table(spark, d, "orders").select("o_orderkey", v.availability(text).alias("status"))

@@ -29,7 +29,7 @@ def one(spark, rule, *rows):
         (v.us_date, ["1/2/26", "12/31/2026", "nope"], ["2026-01-02", "2026-12-31", None]),
         (v.host, ["https://WWW.Ab.com:80/x?y", "ab.com/x", ""], ["ab.com:80", "ab.com", ""]),
         (v.address, ["12 North Main Street, Apt. 4"], ["12 n main st apt 4"]),
-        (v.availability, ["Available", "available June 1", "Unavailable", "Leased", "?"], ["AVAILABLE", "UNKNOWN", "UNAVAILABLE", "LEASED", "UNKNOWN"]),
+        (v.availability, ["Available", "available June 1", "Unavailable", "Leased", "y", "0", "?", None], ["AVAILABLE", "UNKNOWN", "UNAVAILABLE", "UNAVAILABLE", "AVAILABLE", "UNAVAILABLE", "UNKNOWN", None]),
         (v.mask_credentials, ["http://u:p@h/x"], ["http://***@h/x"]),
         (v.clean, [" N/A ", "null", " a ", ""], [None, None, "a", None]),
         (v.half_up, [2.5, -2.5, 1.4], [3.0, -2.0, 1.0]),
