@@ -233,37 +233,43 @@ def absolute_url(base: Column, href: Column) -> Column:
     )
 
 
-def provider(url: Column, page: Column, company: Column, hint: Column) -> Column:
-    """struct(pms, confidence): a hint, else the host, else the vote of path, page and company.
+def provider_votes(url: Column, low_page: Column, company: Column) -> dict[str, Column]:
+    """What host, page, path and company each say: structs of pms and confidence, or null. `low_page` is the page in lower case."""
+    said = lambda name, sure: _told(name if isinstance(name, Column) else F.lit(name), F.lit(sure), "pms", "confidence")
+    host = F.lower(F.regexp_extract(F.trim(url), r"^[^:]+://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    foreign = _any([host.endswith(h) for h in ("microsoft.com", "live.com", "sharepoint.com")])
+    companies = F.create_map(*[F.lit(x) for pair in COMPANY_PROVIDERS.items() for x in pair])
+    of_company = F.try_element_at(companies, F.lower(F.trim(company)))
+    return {
+        "_host": F.coalesce(*[F.when(host.rlike(p), said(name, sure)) for p, name, sure in PROVIDER_HOSTS]),
+        "_page": F.coalesce(*[F.when(_any([low_page.contains(m) for m in marks]), said(name, sure)) for marks, name, sure in PROVIDER_MARKS]),
+        "_path": F.when(F.lower(url_path(F.trim(url))).endswith(".aspx") & ~foreign, said("rentcafe", 0.70)),
+        "_company": F.when(of_company.isNotNull(), said(of_company, 0.70)),
+    }
+
+
+def provider(hint: Column) -> Column:
+    """struct(pms, confidence) from the columns of provider_votes(): a hint, else the host, else the vote of page, path and company.
 
     Votes for a provider add up; the winner's confidence is its surest vote plus 0.10 for each further one, 0.95 at most. Ties go to
     the page, then the path, then the company.
     """
-    said = lambda name, sure: _told(name if isinstance(name, Column) else F.lit(name), F.lit(sure) if isinstance(sure, float) else sure, "pms", "confidence")
     given = F.nullif(F.lower(F.trim(hint)), F.lit(""))
-    host = F.lower(F.regexp_extract(F.trim(url), r"^[^:]+://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    by_host = F.coalesce(*[F.when(host.rlike(p), said(name, sure)) for p, name, sure in PROVIDER_HOSTS])
-    low = F.lower(page)
-    by_page = F.coalesce(*[F.when(_any([low.contains(m) for m in marks]), said(name, sure)) for marks, name, sure in PROVIDER_MARKS])
-    foreign = _any([host.endswith(h) for h in ("microsoft.com", "live.com", "sharepoint.com")])
-    by_path = F.when(F.lower(url_path(F.trim(url))).endswith(".aspx") & ~foreign, said("rentcafe", 0.70))
-    companies = F.create_map(*[F.lit(x) for pair in COMPANY_PROVIDERS.items() for x in pair])
-    of_company = F.try_element_at(companies, F.lower(F.trim(company)))
-    by_company = F.when(of_company.isNotNull(), said(of_company, 0.70))
-    votes = F.filter(F.array(by_page, by_path, by_company), lambda x: x.isNotNull())
+    said = lambda name, sure: _told(name if isinstance(name, Column) else F.lit(name), F.lit(sure) if isinstance(sure, float) else sure, "pms", "confidence")
+    voters = [F.col(n) for n in ("_page", "_path", "_company")]
 
-    def tally(v: Column, at: Column) -> Column:
-        mine = F.filter(votes, lambda x: x["pms"] == v["pms"])
-        total = F.aggregate(mine, F.lit(0.0), lambda a, x: a + x["confidence"])
-        surest = F.array_max(F.transform(mine, lambda x: x["confidence"]))
-        combined = F.least(F.lit(0.95), surest + 0.10 * (F.size(mine) - 1))
-        return F.struct(total.alias("total"), (-at).alias("turn"), v["pms"].alias("pms"), combined.alias("confidence"))
+    def tally(at: int) -> Column:
+        mine = [F.when(x["pms"] == voters[at]["pms"], x["confidence"]) for x in voters]
+        total = sum((F.coalesce(m, F.lit(0.0)) for m in mine[1:]), F.coalesce(mine[0], F.lit(0.0)))
+        others = sum((m.isNotNull().cast("int") for m in mine[1:]), mine[0].isNotNull().cast("int")) - 1
+        combined = F.least(F.lit(0.95), F.greatest(*mine) + 0.10 * others)
+        return F.when(voters[at].isNotNull(), F.struct(total.alias("total"), F.lit(-at).alias("turn"), voters[at]["pms"].alias("pms"), combined.alias("confidence")))
 
-    best = F.array_max(F.transform(votes, tally))
+    best = F.greatest(*[tally(at) for at in range(3)])
     return (
         F.when(given.isin(*PROVIDERS), said(given, 0.95))
         .when(given.isNotNull(), said("custom", 0.75))
-        .when(by_host.isNotNull(), by_host)
+        .when(F.col("_host").isNotNull(), F.col("_host"))
         .when(best.isNotNull(), said(best["pms"], best["confidence"]))
         .otherwise(said("unknown", 0.0))
     )
@@ -276,36 +282,46 @@ def availability_text(text: Column) -> Column:
     return F.when(gone, "UNAVAILABLE").when(t.contains("available") | t.contains("now") | t.rlike(r"\d{1,2}/\d{1,2}"), "AVAILABLE").otherwise("UNKNOWN")
 
 
-def availability_date(text: Column, year: int) -> Column:
-    """The first date in a text; `now` has none, and a missing year is the given one. Impossible days are null."""
-    numeric = _found(text, NUMERIC_DATE)
-    parts = F.split(numeric, "/")
+def numeric_date(found: Column) -> Column:
+    """The date of a NUMERIC_DATE; years of two digits are in this century, impossible days null."""
+    parts = F.split(found, "/")
     y = parts[2].try_cast("int")
-    month = (F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.lower(_found(text, NAMED_DATE))) + 2) / 3
-    written = lambda yy, mm, dd: F.try_to_date(F.format_string("%04d-%02d-%02d", yy.cast("int"), mm.cast("int"), dd.cast("int")), "yyyy-MM-dd")
-    return (
-        F.when(text.rlike(r"(?i)\bnow\b"), None)
-        .when(numeric.isNotNull(), written(F.when(y < 100, y + 2000).otherwise(y), parts[0], parts[1]))
-        .when(_found(text, NAMED_DATE).isNotNull(), written(F.coalesce(_found(text, NAMED_DATE, 3), F.lit(str(year))), month, _found(text, NAMED_DATE, 2)))
-    )
-
-
-def plan_type(text: Column) -> Column:
-    bed, bath = _found(text, BED), _found(text, BATH)
-    return F.when(text.rlike(STUDIO), "Studio").when(bed.isNotNull() & bath.isNotNull(), F.concat(bed, F.lit("/"), bath)).when(bed.isNotNull(), F.concat(bed, F.lit(" Bed")))
-
-
-def text_facts(text: Column, year: int) -> Column:
-    """All that patterns find in a unit's text, as one struct."""
-    whole = lambda c: F.regexp_replace(c, ",", "").try_cast("bigint")
-    rent = F.regexp_replace(_found(text, RENT), ",", "").try_cast("double")
-    return F.struct(
-        _found(text, UNIT_NUMBER).alias("unit_number"),
-        F.when(rent != 0, rent).alias("asking_rent"),
-        whole(_found(text, SQFT)).alias("sqft"),
-        plan_type(text).alias("floor_plan_type"),
-        _found(text, FLOOR).try_cast("int").alias("floor"),
-        availability_text(text).alias("availability_status"),
-        availability_date(text, year).alias("availability_date"),
-        _found(text, CONCESSION, 0).alias("concession_text"),
-    )
+    return _day(F.when(y < 100, y + 2000).otherwise(y), parts[0], parts[1])
+
+
+def named_date(month: Column, day: Column, year: Column) -> Column:
+    """The date of the parts of a NAMED_DATE."""
+    return _day(year, (F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.lower(month)) + 2) / 3, day)
+
+
+def _day(year: Column, month: Column, day: Column) -> Column:
+    padded = lambda c, n: F.lpad(c.cast("int").cast("string"), n, "0")
+    return F.try_to_date(F.concat(padded(year, 4), F.lit("-"), padded(month, 2), F.lit("-"), padded(day, 2)), "yyyy-MM-dd")
+
+
+def text_matches(text: Column) -> dict[str, Column]:
+    """What each pattern finds in a unit's text, for text_facts()."""
+    return {
+        "_unit": _found(text, UNIT_NUMBER), "_rent": _found(text, RENT), "_sqft": _found(text, SQFT), "_bed": _found(text, BED), "_bath": _found(text, BATH),
+        "_studio": text.rlike(STUDIO), "_floor": _found(text, FLOOR), "_status": availability_text(text), "_now": text.rlike(r"(?i)\bnow\b"),
+        "_numeric": _found(text, NUMERIC_DATE), "_named": _found(text, NAMED_DATE, 0), "_offer": _found(text, CONCESSION, 0),
+    }
+
+
+def text_facts(year: int) -> dict[str, Column]:
+    """The facts of a unit's text out of the columns of text_matches(). A date without a year has the given one; `now` has none."""
+    c, whole = F.col, lambda x: F.regexp_replace(x, ",", "").try_cast("bigint")
+    rent = F.regexp_replace("_rent", ",", "").try_cast("double")
+    plan = F.when(c("_studio"), "Studio").when(c("_bed").isNotNull() & c("_bath").isNotNull(), F.concat("_bed", F.lit("/"), "_bath")).when(c("_bed").isNotNull(), F.concat("_bed", F.lit(" Bed")))
+    part = lambda n: F.nullif(F.regexp_extract("_named", NAMED_DATE, n), F.lit(""))
+    named = named_date(part(1), part(2), F.coalesce(part(3), F.lit(str(year))))
+    return {
+        "unit_number": c("_unit"),
+        "asking_rent": F.when(rent != 0, rent),
+        "sqft": whole("_sqft"),
+        "floor_plan_type": plan,
+        "floor": c("_floor").try_cast("int"),
+        "availability_status": c("_status"),
+        "availability_date": F.when(c("_now"), None).when(c("_numeric").isNotNull(), numeric_date(c("_numeric"))).when(c("_named").isNotNull(), named),
+        "concession_text": c("_offer"),
+    }

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leasegrid.functions import decisions
+
 
 def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The row of each key that comes last; null keys are dropped. `order` ascends and should be total."""
@@ -127,3 +129,15 @@ def tier_cascade(tiers: list[DataFrame], key: str) -> DataFrame:
         df = df.withColumn("tier", F.lit(k + 1))
         out = df if out is None else out.unionByName(df.join(out.select(key).distinct(), key, "left_anti"))
     return out
+
+
+def with_text_facts(df: DataFrame, text: str, year: int) -> DataFrame:
+    """Adds the facts that patterns find in a unit's text. Every pattern runs once: its match is a column before facts use it."""
+    found = df.withColumns(decisions.text_matches(F.col(text)))
+    return found.withColumns(decisions.text_facts(year)).drop(*decisions.text_matches(F.col(text)))
+
+
+def with_provider(df: DataFrame, url: str, page: str, company: str, hint: str) -> DataFrame:
+    """Adds struct `provider` (pms, confidence). The page is lowered and each signal read once."""
+    votes = decisions.provider_votes(F.col(url), F.col("_low"), F.col(company))
+    return df.withColumn("_low", F.lower(page)).withColumns(votes).withColumn("provider", decisions.provider(F.col(hint))).drop("_low", *votes)

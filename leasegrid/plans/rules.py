@@ -46,7 +46,7 @@ def text_facts(spark, d):
     when = F.when(F.col("o_orderstatus") == "O", F.concat(F.lit("Available "), F.date_format(day, "M/d/yyyy"))).when(F.col("o_orderstatus") == "F", "Available now").otherwise(F.concat(F.lit("Leased until "), F.date_format(day, "MMMM d, yyyy")))
     offer = F.when(k % 5 == 0, "2 months free")
     notice = F.concat_ws(" ", F.lit("Unit"), F.concat(F.lit("#"), (k % 10_000).cast("string")), plan, F.lit("850 sq ft"), F.concat(F.lit("$"), F.format_number(F.floor(F.col("o_totalprice") / 100), 0)), F.lit("Floor"), (k % 9 + 1).cast("string"), when, offer)
-    return table(spark, d, "orders").select("o_orderkey", notice.alias("notice")).select("o_orderkey", rules.text_facts(F.col("notice"), 2026).alias("f")).select("o_orderkey", "f.*")
+    return frames.with_text_facts(table(spark, d, "orders").select("o_orderkey", notice.alias("notice")), "notice", 2026).drop("notice")
 
 
 @query("q_f31_classify", """WITH e AS (SELECT event_id AS i, [200, 304, 407, 429, 403, 500, 404, 302, NULL][event_id % 9 + 1] AS s, event_id % 2 = 0 AS c, event_id % 11 AS x FROM events)
@@ -156,8 +156,8 @@ def provider(spark, d):
     page = F.concat(F.col("html"), F.when(i % 9 == 2, "Yardi").when(i % 9 == 3, "static.wix.com").when(i % 9 == 5, "x.appfolio.com").when(i % 9 == 8, "/Apartments/Module/").otherwise(""))
     company = F.when(i % 9 == 7, "Nobody").when(i % 9 == 3, " Mark-Taylor ")
     hint = F.when(i % 9 == 3, " Entrata").when(i % 9 == 4, "homemade").when(i % 9 == 5, "")
-    made = rules.provider(url, page, company, hint)
-    return table(spark, d, "pages").select("page_id", made.alias("r")).select("page_id", "r.pms", F.round("r.confidence", 10).alias("confidence"))
+    seen = table(spark, d, "pages").select("page_id", url.alias("url"), page.alias("page"), company.alias("company"), hint.alias("hint"))
+    return frames.with_provider(seen, "url", "page", "company", "hint").select("page_id", "provider.pms", F.round("provider.confidence", 10).alias("confidence"))
 
 
 HREFS = """links AS (SELECT page_id, url, regexp_extract(url, '^([^:]+://[^/?#]*)', 1) AS origin, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href FROM pages)"""

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leasegrid.functions import decisions
+from leasegrid.operators import frames
 
 
 def rows(spark, rule, schema, *given):
@@ -51,12 +52,13 @@ def test_drift(spark):
     ],
 )
 def test_dates_in_texts(spark, text, want):
-    (got,) = rows(spark, decisions.availability_date(F.col("t"), 2026), "t string", (text,))
+    got = frames.with_text_facts(spark.createDataFrame([(text,)], "t string"), "t", 2026).first()["availability_date"]
     assert (got and got.isoformat()) == want
 
 
 def test_facts_of_empty_texts(spark):
-    got = rows(spark, decisions.text_facts(F.col("t"), 2026), "t string", (None,), ("",), ("1.5 bd",), ("$0 apt 12B waitlist",))
+    df = spark.createDataFrame([(0, None), (1, ""), (2, "1.5 bd"), (3, "$0 apt 12B waitlist")], "i int, t string")
+    got = [tuple(r) for r in frames.with_text_facts(df, "t", 2026).orderBy("i").drop("i", "t").collect()]
     empty = (None, None, None, None, None, "UNKNOWN", None, None)
     assert got[:2] == [empty, empty]
     assert got[2][3] == "1.5 Bed"
@@ -64,12 +66,12 @@ def test_facts_of_empty_texts(spark):
 
 
 def test_provider_ties_and_votes(spark):
-    rule = decisions.provider(F.col("u"), F.col("p"), F.col("c"), F.col("h"))
-    got = rows(
-        spark, rule, "u string, p string, c string, h string",
+    given = [
         (None, None, None, None), ("https://a.rentcafe.com/x", "wix.com", None, None), ("https://notrentcafe.com/", "", "", ""), ("https://x.live.com/a.aspx", None, None, None),
         ("https://v.com/a.aspx", None, "mark-taylor", None), ("https://v.com/a.aspx", "YARDI", "Lindsey Management", None),
-    )
+    ]
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(given)], "i int, u string, p string, c string, h string")
+    got = [tuple(r["provider"]) for r in frames.with_provider(df, "u", "p", "c", "h").orderBy("i").collect()]
     assert [(n, round(c, 10)) for n, c in got] == [("unknown", 0.0), ("rentcafe", 0.95), ("unknown", 0.0), ("unknown", 0.0), ("rentcafe", 0.70), ("rentcafe", 0.95)]
 
 
