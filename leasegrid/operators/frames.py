@@ -141,3 +141,30 @@ def with_provider(df: DataFrame, url: str, page: str, company: str, hint: str) -
     """Adds struct `provider` (pms, confidence). The page is lowered and each signal read once."""
     votes = decisions.provider_votes(F.col(url), F.col("_low"), F.col(company))
     return df.withColumn("_low", F.lower(page)).withColumns(votes).withColumn("provider", decisions.provider(F.col(hint))).drop("_low", *votes)
+
+
+#: Longest lists a profile keeps (fixed values).
+MOST_BLOCKED, MOST_MAPPINGS, MOST_EXPLORED = 50, 20, 50
+
+
+def migrate_profiles(df: DataFrame) -> DataFrame:
+    """Profiles of version 1 as version 2: defaults set, lists cut, dropped fields gone, unknown providers read from the entry URL.
+
+    Takes api_hints (api_provider, blocked_endpoints, llm_field_mappings), dom_hints (platform_detected and others), navigation
+    (entry_url, explored_links), cluster_id and any other columns.
+    """
+    nothing = F.lit(None).cast("string")
+    seen = with_provider(df.withColumns({"_url": F.col("navigation.entry_url"), "_none": nothing}), "_url", "_none", "_none", "_none")
+    given = F.nullif(F.col("api_hints.api_provider"), F.lit(""))
+    sure = (F.coalesce(given, F.lit("unknown")) == "unknown") & (F.col("provider.pms") != "unknown") & (F.col("provider.confidence") >= 0.5)
+    first = lambda c, n: F.slice(c, 1, n)
+    hints = F.col("api_hints").withField("api_provider", F.when(sure, F.col("provider.pms")).otherwise(F.coalesce(given, F.lit("unknown"))))
+    hints = hints.withField("blocked_endpoints", first("api_hints.blocked_endpoints", MOST_BLOCKED)).withField("llm_field_mappings", first("api_hints.llm_field_mappings", MOST_MAPPINGS))
+    made = {
+        "api_hints": hints,
+        "dom_hints": F.col("dom_hints").dropFields("platform_detected"),
+        "navigation": F.col("navigation").withField("explored_links", first("navigation.explored_links", MOST_EXPLORED)),
+        "last_success_detection": F.when(sure, F.col("provider")),
+        "version": F.lit(2),
+    }
+    return seen.withColumns(made).drop("cluster_id", "provider", "_url", "_none")

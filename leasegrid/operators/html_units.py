@@ -129,3 +129,32 @@ def jsonld_units(pages: DataFrame) -> DataFrame:
         number(F.coalesce(F.try_variant_get("node", "$.floorSize.value", "string"), text("$.floorSize"))).cast("int").alias("sqft"),
         F.coalesce(text("$.accommodationCategory"), text("$.numberOfRooms")).alias("floor_plan_type"),
     )
+
+
+# Words a script with units holds, the form of an assignment, and globals that frameworks fill.
+UNIT_WORDS = r"(?i)floor.?plan|floorPlan|units|avail|rent|bedroom|sqft|pricing"
+ASSIGNMENT = r"(?:var|let|const|window\.)\s*(\w+)\s*=\s*(\[\s*\{[\s\S]*?\}\s*\]|\{[\s\S]*?\})\s*;"
+GLOBALS = ("__NEXT_DATA__", "__INITIAL_STATE__", "__NUXT__", "__remixContext", "__APP_DATA__", "pageData", "__data__", "initialState", "serverData")
+BLOCK_LEAST, BLOCK_MOST, SCRIPT_LEAST, SCRIPT_MOST = 200, 1_000_000, 300, 500_000
+
+
+def embedded_json(pages: DataFrame) -> DataFrame:
+    """(page_id, url, body) of JSON inside scripts: typed blocks, assignments next to unit words, and known globals.
+
+    `url` names where the text was found, `body` is the JSON text. Texts that don't parse give no rows; a global that is also an
+    assignment gives two. A narrow map of every page, without a shuffle.
+    """
+    script = r"(?is)<script\b([^>]*)>(.*?)</script>"
+    both = F.arrays_zip(F.regexp_extract_all("html", F.lit(script), F.lit(1)).alias("attrs"), F.regexp_extract_all("html", F.lit(script), F.lit(2)).alias("text"))
+    named = lambda name: F.regexp_extract("attrs", rf"(?i)(?:^|\s){name}\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    found = pages.select("page_id", F.explode(both).alias("s")).select("page_id", F.col("s.attrs").alias("attrs"), F.col("s.text").alias("text"))
+    found = found.select("page_id", "text", F.lower(named("type")).alias("type"), named("src").alias("src"), F.coalesce(F.nullif(named("id"), F.lit("")), F.nullif(named("data-id"), F.lit("")), F.lit("anon")).alias("id"))
+    n = F.length("text")
+    made = lambda url, body: F.struct(url.alias("url"), body.alias("body"))
+    block = F.when((F.col("type") == "application/json") & n.between(BLOCK_LEAST, BLOCK_MOST), F.array(made(F.concat(F.lit("embedded:json-block:"), "id"), F.col("text"))))
+    plain = (F.col("src") == "") & F.col("type").isin("", "text/javascript", "application/javascript") & n.between(SCRIPT_LEAST, SCRIPT_MOST) & F.col("text").rlike(UNIT_WORDS)
+    pairs = F.arrays_zip(F.regexp_extract_all("text", F.lit(ASSIGNMENT), F.lit(1)).alias("name"), F.regexp_extract_all("text", F.lit(ASSIGNMENT), F.lit(2)).alias("body"))
+    assigned = F.transform(F.filter(pairs, lambda x: F.length(x["body"]) >= BLOCK_LEAST), lambda x: made(F.concat(F.lit("embedded:script-var:"), x["name"]), x["body"]))
+    known = F.array(*[made(F.lit(f"embedded:js:{g}"), F.regexp_extract("text", rf"window\.{g}\s*=\s*(\{{[\s\S]*?\}})\s*;", 1)) for g in GLOBALS])
+    rows = found.select("page_id", F.explode(F.coalesce(block, F.when(plain, F.concat(assigned, known)))).alias("r")).select("page_id", "r.url", "r.body")
+    return rows.where((F.col("body") != "") & F.try_parse_json("body").isNotNull())

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leasegrid.functions import decisions as rules
 from leasegrid.functions import values as v
-from leasegrid.operators import frames
+from leasegrid.operators import frames, html_units
 from leasegrid.plans.tables import PROPERTIES, UNITS, properties, table, units
 from leasegrid.sources import files
 
@@ -425,3 +425,34 @@ def defaults(spark, d):
     status = F.coalesce(F.nullif(given, F.lit("UNKNOWN")), F.lit("AVAILABLE"))
     day = F.when(F.col("o_orderkey") % 4 != 0, F.to_date("o_orderdate"))
     return table(spark, d, "orders").select("o_orderkey", status.alias("status"), F.coalesce(day, F.lit("2026-01-01").cast("date")).alias("available_on"))
+
+
+# Pages and profiles ---------------------------------------------------------------------------------------------------
+@query("q_x17_embedded", """WITH t AS (SELECT l_orderkey, l_linenumber, '{"unit":"' || l_partkey || '","rent":' || floor(l_extendedprice)::BIGINT || '}' AS t FROM lineitem),
+j AS (SELECT l_orderkey AS page_id, 2 + length(string_agg(t, ',' ORDER BY l_linenumber, t)) AS n FROM t GROUP BY 1)
+SELECT page_id, 'embedded:json-block:list' AS url, n::INT AS n FROM j WHERE n >= 200 UNION ALL SELECT page_id, 'embedded:script-var:unitList', n::INT FROM j WHERE n + 16 >= 300
+UNION ALL SELECT page_id, u, (n + 10)::INT FROM j, (VALUES ('embedded:script-var:pageData'), ('embedded:js:pageData')) x(u) WHERE n + 29 >= 300""")
+def embedded(spark, d):
+    """JSON found again in pages written from orders: a typed block, an assignment and a global; one broken text gives nothing."""
+    one = F.concat(F.lit('{"unit":"'), F.col("l_partkey").cast("string"), F.lit('","rent":'), F.floor("l_extendedprice").cast("string"), F.lit("}"))
+    lines = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("page_id")).agg(F.sort_array(F.collect_list(F.struct("l_linenumber", one.alias("t")))).alias("lines"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("lines", lambda x: x["t"]), ","), F.lit("]"))
+    parts = ('<p>units</p><script type="application/json" id="list">', text, "</script><script>var unitList = ", text, ";</script><script>window.pageData = {\"units\":", text, "};</script><script type='application/json'>{broken", text, "</script>")
+    pages = lines.select("page_id", F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]).alias("html"))
+    return html_units.embedded_json(pages).select("page_id", "url", F.length("body").alias("n"))
+
+
+@query("q_x30_migration", """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'entrata' WHEN c_custkey % 2 = 0 THEN 'rentcafe' ELSE 'unknown' END AS provider, least(50, c_custkey % 70)::INT AS n_blocked, least(20, c_custkey % 30)::INT AS n_mappings, least(50, c_custkey % 80)::INT AS n_explored,
+CASE WHEN c_custkey % 3 <> 0 AND c_custkey % 2 = 0 THEN 0.95 END AS confidence, 2 AS version FROM customer""")
+def migration(spark, d):
+    k = F.col("c_custkey")
+    many = lambda n: F.transform(F.filter(F.sequence(F.lit(0), (k % n).cast("int")), lambda x: x > 0), lambda x: x.cast("string"))
+    old = table(spark, d, "customer").select(
+        "c_custkey",
+        F.struct(choice(k, "entrata", "", None).alias("api_provider"), many(70).alias("blocked_endpoints"), many(30).alias("llm_field_mappings")).alias("api_hints"),
+        F.struct(F.lit("x").alias("platform_detected"), F.lit(1).alias("other")).alias("dom_hints"),
+        F.struct(F.when(k % 2 == 0, "https://a.rentcafe.com/x").otherwise("https://example.com").alias("entry_url"), many(80).alias("explored_links")).alias("navigation"),
+        F.lit(7).alias("cluster_id"),
+    )
+    new = frames.migrate_profiles(old)
+    return new.select("c_custkey", F.col("api_hints.api_provider").alias("provider"), F.size("api_hints.blocked_endpoints").alias("n_blocked"), F.size("api_hints.llm_field_mappings").alias("n_mappings"), F.size("navigation.explored_links").alias("n_explored"), F.col("last_success_detection.confidence").alias("confidence"), "version")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leasegrid.functions import decisions
-from leasegrid.operators import frames
+from leasegrid.operators import frames, html_units
 
 
 def rows(spark, rule, schema, *given):
@@ -80,3 +80,26 @@ def test_links(spark):
     got = rows(spark, rule, "h string", ("#a",), ("mailto:x",), ("/p",), ("p",), ("?z",), ("//cdn.com/a",), ("http://ab.com/k",), ("http://m.ab.com/k",), ("http://other.com",), ("ftp://ab.com",), ("",), (None,))
     site = "https://www.Ab.com"
     assert got == [None, None, f"{site}/p", f"{site}/x/p", f"{site}/x/y?z", "https://cdn.com/a", "http://ab.com/k", "http://m.ab.com/k", None, None, None, None]
+
+
+def test_embedded_json(spark):
+    unit = '{"unit":"' + "x" * 300 + '"}'
+    pages = [
+        (0, None), (1, ""), (2, "<p>units</p>"),
+        (3, f"<SCRIPT ID=a TYPE='application/json'>[{unit}]</SCRIPT>"),
+        (4, f"<script type=\"application/json\">{'[1]'}</script>"),
+        (5, f'<script src="/x.js">var units = {unit};</script>'),
+        (6, f"<script>/* rent */ let list = [{unit}]; var rest = {{a: {unit}}};</script>"),
+        (7, f'<script type="module">var units = {unit};</script>'),
+    ]
+    got = html_units.embedded_json(spark.createDataFrame(pages, "page_id int, html string")).collect()
+    assert sorted((r["page_id"], r["url"]) for r in got) == [(3, "embedded:json-block:a"), (6, "embedded:script-var:list")]
+
+
+def test_migration_without_lists(spark):
+    old = "api_hints struct<api_provider string, blocked_endpoints array<string>, llm_field_mappings array<string>>, dom_hints struct<platform_detected string, other int>, navigation struct<entry_url string, explored_links array<string>>, cluster_id int"
+    given = [((None, None, None), ("x", 1), (None, None), 1), (None, None, None, None)]
+    got = frames.migrate_profiles(spark.createDataFrame(given, old)).collect()
+    assert [r["version"] for r in got] == [2, 2]
+    assert got[0]["api_hints"]["api_provider"] == "unknown" and got[0]["dom_hints"].asDict() == {"other": 1} and got[0]["last_success_detection"] is None
+    assert "cluster_id" not in got[0].asDict() and got[1]["api_hints"] is None
