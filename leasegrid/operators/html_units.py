@@ -158,3 +158,31 @@ def embedded_json(pages: DataFrame) -> DataFrame:
     known = F.array(*[made(F.lit(f"embedded:js:{g}"), F.regexp_extract("text", rf"window\.{g}\s*=\s*(\{{[\s\S]*?\}})\s*;", 1)) for g in GLOBALS])
     rows = found.select("page_id", F.explode(F.coalesce(block, F.when(plain, F.concat(assigned, known)))).alias("r")).select("page_id", "r.url", "r.body")
     return rows.where((F.col("body") != "") & F.try_parse_json("body").isNotNull())
+
+
+# Marks of frameworks in a page, and the form of a rent.
+FRAMEWORKS = (
+    ("__NEXT_DATA__", "next"), ("__NUXT__", "nuxt"), ("ng-app", "angular"), ("data-reactroot", "react"), ("__svelte", "svelte"),
+    ("data-v-app", "vue"), ("static.parastorage.com", "wix"), ("squarespace.com", "squarespace"), ("cdn.shopify.com", "shopify"),
+)
+RENT_SIGN = r"(?i)\$\s?\d{3,4}(?:[,.]\d{3})?(?:/mo|\s*/\s*month)?"
+
+
+def page_shape(pages: DataFrame) -> DataFrame:
+    """page_id, sizes in bytes, counts, framework marks and how likely scripts draw the page (0 to 1). Null pages count as empty."""
+    html = F.coalesce("html", F.lit(""))
+    bare = F.regexp_replace(F.regexp_replace(html, r"(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->", ""), r"<[^>]+>", "")
+    n = lambda pattern: F.regexp_count(html, F.lit(pattern))
+    seen = pages.select(
+        "page_id",
+        F.octet_length(html).alias("body_bytes"),
+        F.octet_length(bare).alias("text_bytes"),
+        n(r"(?i)<script\b").alias("n_scripts"),
+        n(r"(?i)<iframe\b").alias("n_iframes"),
+        n(RENT_SIGN).alias("n_rents"),
+        F.filter(F.array(*[F.when(html.contains(mark), name) for mark, name in FRAMEWORKS]), lambda x: x.isNotNull()).alias("frameworks"),
+    )
+    drawn = F.arrays_overlap("frameworks", F.array(F.lit("next"), F.lit("nuxt")))
+    share = F.when(F.col("body_bytes") > 0, 0.4 * (1.0 - F.least(F.lit(1.0), F.col("text_bytes") / F.greatest(F.lit(1), F.col("body_bytes"))))).otherwise(0.0)
+    score = share + F.when(drawn, 0.3).otherwise(0.0) + F.when((F.col("n_rents") == 0) & (F.col("text_bytes") < 5000), 0.3).otherwise(0.0)
+    return seen.withColumn("spa", F.bround(F.least(F.lit(1.0), score), 2))

@@ -456,3 +456,14 @@ def migration(spark, d):
     )
     new = frames.migrate_profiles(old)
     return new.select("c_custkey", F.col("api_hints.api_provider").alias("provider"), F.size("api_hints.blocked_endpoints").alias("n_blocked"), F.size("api_hints.llm_field_mappings").alias("n_mappings"), F.size("navigation.explored_links").alias("n_explored"), F.col("last_success_detection.confidence").alias("confidence"), "version")
+
+
+@query("q_f38_shape", r"""WITH h AS (SELECT page_id, html || CASE page_id % 3 WHEN 0 THEN '<script id="__NEXT_DATA__">{}</script>' WHEN 1 THEN ' $1,200/mo and $ 950 <IFRAME>' ELSE '' END AS html FROM pages),
+m AS (SELECT page_id, octet_length(encode(html)) AS b, octet_length(encode(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g'), '<[^>]+>', '', 'g'))) AS t,
+len(regexp_extract_all(html, '(?i)<script\b')) AS s, len(regexp_extract_all(html, '(?i)<iframe\b')) AS i, len(regexp_extract_all(html, '(?i)\$\s?\d{3,4}(?:[,.]\d{3})?(?:/mo|\s*/\s*month)?')) AS r, contains(html, '__NEXT_DATA__') AS x FROM h)
+SELECT page_id, b::INT AS body_bytes, t::INT AS text_bytes, s::INT AS n_scripts, i::INT AS n_iframes, r::INT AS n_rents, CASE WHEN x THEN 'next' ELSE '' END AS frameworks,
+round_even(least(1.0::DOUBLE, 0.4::DOUBLE * (1 - least(1.0::DOUBLE, t / b)) + CASE WHEN x THEN 0.3::DOUBLE ELSE 0 END + CASE WHEN r = 0 AND t < 5000 THEN 0.3::DOUBLE ELSE 0 END), 2) AS spa FROM m""")
+def shape(spark, d):
+    more = choice(F.col("page_id"), '<script id="__NEXT_DATA__">{}</script>', " $1,200/mo and $ 950 <IFRAME>", "")
+    pages = table(spark, d, "pages").select("page_id", F.concat("html", more).alias("html"))
+    return html_units.page_shape(pages).withColumn("frameworks", F.array_join("frameworks", ","))
