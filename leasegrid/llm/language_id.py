@@ -2,8 +2,10 @@
 
 Model: log probabilities of letter trigrams (hashed) for each language, and the languages that each script's letters occur in.
 A word's score for a language is the sum over its trigrams; languages that don't use the word's script lose SCRIPT_COST.
-Changing language between two words costs `switch`. A text where no language beats the best single one by more than `switch`
-on any run of words needs no trellis: each deviation would cost more than it gains, so the constant path is optimal.
+Changing language between two words costs `switch`. A text where no language beats the best single one by more than half of
+`switch` on any run of words needs no trellis: a path with m runs off the best language pays for m - 1 changes at least, which
+from m = 2 on is half of `switch` a run or more, and a single run that covers the whole text gains nothing; so the constant path
+is optimal.
 
 The fit reads a bounded sample of labelled texts (`sample` rows, a parameter); prediction reads whole texts only.
 
@@ -110,7 +112,7 @@ class LanguageModel:
             best = int(s.sum(axis=0).argmax())
             gain = np.cumsum(s - s[:, best : best + 1], axis=0)
             rise = (gain - np.minimum(np.minimum.accumulate(gain, axis=0), 0.0)).max() if len(s) > 1 else 0.0
-            if len(self.langs) == 1 or max(rise, gain[0].max()) <= self.switch:
+            if len(self.langs) == 1 or max(rise, gain[0].max()) <= self.switch / 2:
                 label[a:b] = best
             else:
                 hard.append(i)

@@ -234,6 +234,19 @@ def test_viterbi_equals_all_paths():
         assert value(label.tolist()) == pytest.approx(max(map(value, itertools.product(range(3), repeat=n))))
 
 
+def test_viterbi_where_the_best_single_language_is_a_compromise():
+    rng = np.random.default_rng(11)
+    model = language_id.LanguageModel(["a", "b", "c"], np.zeros((1, 3)), np.ones((1, 3), bool), switch=1.5)
+    value = lambda scores, path: sum(scores[i, k] for i, k in enumerate(path)) - 1.5 * sum(a != b for a, b in itertools.pairwise(path))
+    case = np.array([[0.0, 1.0, -10.0], [0.0, -10.0, 1.0]])
+    assert model.paths(case, np.array([0, 2])).tolist() == [1, 2]
+    for n in (2, 3, 4, 5) * 40:
+        scores = rng.normal(size=(n, 3)) * rng.choice([0.5, 1, 3])
+        scores[:, 0] = rng.normal(size=n) * 0.2
+        label = model.paths(scores, np.array([0, n]))
+        assert value(scores, label.tolist()) == pytest.approx(max(value(scores, p) for p in itertools.product(range(3), repeat=n)))
+
+
 def test_quality_on_held_out_labels(spark):
     docs, labels = spark.read.parquet(f"{D}/documents.parquet"), spark.read.parquet(f"{D}/labels.parquet")
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
