@@ -8,7 +8,8 @@ however many vectors have the same nearest pivots. All rows are indexed; only th
 
 Defined results: vectors that are null, empty, zero, hold null or non-finite components, differ in length from the most common
 length, or have a null id take no part; equal scores are ordered by id; rows with the query's own id are no candidates; a row
-that repeats an id is a candidate once; only the id and vector columns are read.
+that repeats an id is a candidate once, with its best vector, and takes one place in every cut; only the id and vector columns
+are read.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leasegrid.llm.embedding_dedup import sorted_tiles
+from leasegrid.llm.shared import written
 from leasegrid.llm.vectors import matrix, pivots, unit, usable, usual_length
 
 BLOCK = 16_384
@@ -67,12 +69,20 @@ def _dealt(vectors: DataFrame, length: int, p: np.ndarray, posted: int, probes:
     return vectors.mapInArrow(run, "pivot long, n long" if blocks is None else f"pivot int, block int, side int, id long, vec {kind}")
 
 
+def _least_of_each(code: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The smallest value of each run of equal codes."""
+    return np.minimum.reduceat(value, np.flatnonzero(np.r_[True, code[1:] != code[:-1]]))
+
+
 def _search(table: pa.Table, length: int, p: np.ndarray, posted: int, depth: int, top: int, part: float, least: int) -> pa.RecordBatch:
     side, pivot = table.column("side").to_numpy(), int(table.column("pivot")[0].as_py())
     ids, x = table.column("id").to_numpy(), matrix(table.column("vec").combine_chunks(), length)
     order = _orders(x, p)
     query, cand = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    cand = cand[np.argsort(ids[cand], kind="stable")]
     cid, cx = ids[cand], x[cand]
+    # Cuts count ids, not rows; only where ids repeat do the two differ.
+    each = _least_of_each if (cid[1:] == cid[:-1]).any() else lambda _, value: value
     # By pivot: each candidate's rank of it, and whether the candidate is in its file.
     ranks = np.ascontiguousarray(_ranks(order[cand]).T.astype(np.int16))
     in_file = ranks < posted
@@ -88,12 +98,15 @@ def _search(table: pa.Table, length: int, p: np.ndarray, posted: int, depth: int
         mine = np.flatnonzero(mine)
         if not len(mine):
             continue
-        k, foot = max(least, int(np.ceil(part * len(mine)))), foot[mine]
-        if k < len(mine):
-            mine = mine[foot <= np.partition(foot, k - 1)[k - 1]]
+        foot = foot[mine]
+        near = each(cid[mine], foot)
+        k = max(least, int(np.ceil(part * len(near))))
+        if k < len(near):
+            mine = mine[foot <= np.partition(near, k - 1)[k - 1]]
         value = cx[mine] @ x[q]
-        if top < len(mine):
-            mine = mine[value >= np.partition(value, -top)[-top] - 1e-9 * max(1.0, float(np.abs(value).max()))]
+        low = each(cid[mine], -value)
+        if top < len(low):
+            mine = mine[value >= -np.partition(low, top - 1)[top - 1] - 1e-9 * max(1.0, float(np.abs(value).max()))]
         # Element by element, so that equal vectors get equal scores wherever they lie.
         value = (cx[mine] * x[q]).sum(axis=1)
         best = np.lexsort((cid[mine], -value))
@@ -112,7 +125,7 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col
     every = vectors.select(F.col(id_col).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("q"), F.col(vec_col).alias("vec"))
     good = every.where(F.col("id").isNotNull() & usable("vec"))
     length = usual_length(good, "vec")
-    good = good.where(F.size("vec") == length)
+    good = written(good.where(F.size("vec") == length).groupBy("id", "vec").agg(F.max("q").alias("q")).select("id", "q", "vec"), "vectors")
     p = pivots(good, "id", "vec", n_pivots, length)
     posted, probes = min(posted, len(p)), min(probes, len(p))
     kind = "query_id long, vec_id long, score double"

@@ -82,6 +82,22 @@ def test_permutation_index_is_exact_on_few_rows_and_ties(spark, odd):
     assert permutation_ann.search(frame(spark, odd).limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_permutation_index_counts_a_repeated_id_once(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=8)
+    x = {i: [(base + rng.normal(size=8) * 0.4).tolist()] for i in range(1, 61)}
+    x[0] = [base.tolist()]
+    # 70 is repeated as it is, 71 with a little of another vector in each row; both are closer than all others.
+    x[70], x[71] = [(base * 2).tolist()] * 30, [(base * 2 - i * 1e-3).tolist() for i in range(30)]
+    rows = frame(spark, [(i, v) for i, vs in x.items() for v in vs])
+    score = {i: max(float((np.array(v) * base).sum()) for v in vs) for i, vs in x.items()}
+    for cuts in ({"part": 1.0}, {"part": 0.0, "least": 30}):
+        got = sorted(permutation_ann.search(rows, F.col("vec_id") == 0, top=20, probes=64, posted=64, **cuts).collect(), key=lambda r: r["rank"])
+        assert [r["rank"] for r in got] == list(range(1, 21)) and len({r["vec_id"] for r in got}) == 20
+        if cuts["part"]:
+            assert [r["vec_id"] for r in got] == sorted(score.keys() - {0}, key=lambda i: (-score[i], i))[:20]
+
+
 def test_components_equal_closure(spark):
     rng = random.Random(8)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(400 + i, 401 + i) for i in range(60)] + [(500, 600 + i) for i in range(50)] + [(7, 7)]
