@@ -4,9 +4,10 @@ Calls and results are hash-joined by identifier; calls are put in topological or
 (a chain of n calls takes log n rounds, and no conversation is gathered in one row or task); arguments are checked against the
 tools' schemas; each call becomes one line of canonical JSON: keys sorted, no spaces.
 
-Defined results: a call without result has n_results 0 and result null; of several results the first by (seq, content) is taken
-and all are counted; results of no call are `orphan` rows; a parent that doesn't exist makes the call a root with error
-`parent missing`; calls on a cycle, or behind one, have depth null and error `cyclic`; null call ids link with nothing;
+Defined results: a call without result has n_results 0 and result null; of several results the first by (seq, content, conv_id)
+is taken and all are counted, and each other one is a `further` row, which counts its own copies; results of no call are `orphan`
+rows; results with a null call id are an `orphan` row each, whose n_results is 0 if conv_id is null too (as in the SQL); a parent
+that doesn't exist makes the call a root with error `parent missing`; calls on a cycle, or behind one, have depth null and error `cyclic`; null call ids link with nothing;
 arguments that aren't JSON objects have error `not an object`; rows may repeat.
 """
 
@@ -62,11 +63,12 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tupl
     """(conv_id, call_id, depth, status, n_results, errors, json).
 
     calls: conv_id, call_id, parent_id, tool, arguments (JSON text). results: conv_id, call_id, seq, content.
-    status: linked, open (no result) or orphan (result without call). Read in order of conv_id, depth, call_id.
+    status: linked, open (no result), orphan (result without call) or further (one more result of an id). Read in order of conv_id, depth, call_id.
     """
     calls = calls.select("conv_id", "call_id", "parent_id", "tool", "arguments")
-    got = results.groupBy("call_id").agg(F.min(F.struct("seq", "content")).alias("r"), F.count(F.lit(1)).alias("n_results"), F.min("conv_id").alias("_conv"))
-    got = got.select(F.col("call_id").alias("_id"), F.col("r.content").alias("result"), F.col("n_results"), "_conv")
+    each = results.where("call_id is not null").groupBy("call_id", F.struct("seq", "content", "conv_id").alias("r")).agg(F.count(F.lit(1)).alias("n"))
+    firsts = each.groupBy("call_id").agg(F.min("r").alias("r"), F.sum("n").alias("n_results"), F.count(F.lit(1)).alias("n_distinct"))
+    got = firsts.select(F.col("call_id").alias("_id"), F.col("r.content").alias("result"), F.col("n_results"), F.col("r.conv_id").alias("_conv"))
     order = depths(calls).select(F.col("call_id").alias("_call"), "depth")
     parents = calls.where("call_id is not null").select(F.col("call_id").alias("_parent")).distinct()
     rows = calls.join(got.hint("shuffle_hash"), calls["call_id"] == got["_id"], "left")
@@ -80,9 +82,17 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict[str, tupl
     # Variants keep the keys of objects in order; fields of the line are in order too.
     line = F.to_json(F.struct(F.coalesce(F.try_parse_json("arguments"), F.try_parse_json(F.lit("null"))).alias("arguments"), F.col("call_id").alias("id"), F.col("parent_id").alias("parent"), "result", "tool"), {"ignoreNullFields": "false"})
     linked = rows.select("conv_id", "call_id", "depth", "status", "n_results", "errors", line.alias("json"))
-    orphan = got.join(parents, got["_id"] == parents["_parent"], "left_anti")
-    orphan = orphan.select(F.col("_conv").alias("conv_id"), F.col("_id").alias("call_id"), F.lit(None).cast("long").alias("depth"), F.lit("orphan").alias("status"), "n_results", F.array(F.lit("call missing")).alias("errors"), F.to_json(F.struct(F.col("_id").alias("id"), "result"), {"ignoreNullFields": "false"}).alias("json"))
-    return linked.unionByName(orphan)
+    orphan = _lone(got.join(parents, got["_id"] == parents["_parent"], "left_anti").select(F.col("_conv").alias("conv_id"), F.col("_id").alias("call_id"), "n_results", "result"), "orphan", "call missing")
+    nameless = results.where("call_id is null").select("conv_id", "call_id", F.col("conv_id").isNotNull().cast("long").alias("n_results"), F.col("content").alias("result"))
+    several = firsts.where("n_distinct > 1").select(F.col("call_id").alias("_id"), F.col("r").alias("_first"))
+    further = each.join(several, (each["call_id"] == several["_id"]) & ~each["r"].eqNullSafe(several["_first"])).select("r.conv_id", "call_id", F.col("n").alias("n_results"), F.col("r.content").alias("result"))
+    return linked.unionByName(orphan).unionByName(_lone(nameless, "orphan", "call missing")).unionByName(_lone(further, "further"))
+
+
+def _lone(results: DataFrame, status: str, *errors: str) -> DataFrame:
+    """Rows of link for results (conv_id, call_id, n_results, result) that stand by themselves."""
+    line = F.to_json(F.struct(F.col("call_id").alias("id"), "result"), {"ignoreNullFields": "false"})
+    return results.select("conv_id", "call_id", F.lit(None).cast("long").alias("depth"), F.lit(status).alias("status"), "n_results", F.array(*map(F.lit, errors)).cast("array<string>").alias("errors"), line.alias("json"))
 
 
 def from_turns(turns: DataFrame) -> tuple[DataFrame, DataFrame]:

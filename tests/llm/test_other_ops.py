@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leasegrid.llm import embedding_dedup, permutation_ann, sharding, tool_calls
+from leasegrid.llm import queries as llm_queries
 from leasegrid.llm.shared import connected, shared_dir
 
 D = "/root/testdata/sf0.01"
@@ -146,3 +147,26 @@ def test_tool_calls_link_order_and_validation(spark):
     assert got["open", "lost"]["errors"] == ["parent missing", "not an object"] and got["open", "lost"]["depth"] == 0
     assert got["orphan", "ghost"]["errors"] == ["call missing"] and ("orphan", None) in got
     assert tool_calls.link(frames[0].limit(0), frames[1].limit(0), SCHEMAS).count() == 0
+
+
+def test_tool_calls_keep_every_result(spark):
+    """Results without an id are an orphan each, and further results of an id are rows of their own."""
+    calls = [(1, "r", None, "sum", '{"b": 2.5, "a": 1}')]
+    results = [(1, None, 1, "no turn"), (2, None, 1, "no turn"), (None, None, 2, "no conversation"), (None, None, 2, "no conversation")]
+    results += [(1, "r", 2, "second"), (1, "r", 1, "first"), (1, "r", 1, "first"), (1, "r", 2, "second"), (1, "r", 3, None), (8, "ghost", 5, "later"), (9, "ghost", 4, "sooner")]
+    got = tool_calls.link(spark.createDataFrame(calls, "conv_id long, call_id string, parent_id string, tool string, arguments string"), spark.createDataFrame(results, "conv_id long, call_id string, seq long, content string"), SCHEMAS).collect()
+    rows = sorted([(r["status"], r["conv_id"], r["call_id"], r["n_results"], json.loads(r["json"])["result"]) for r in got], key=repr)
+    want = [("orphan", 1, None, 1, "no turn"), ("orphan", 2, None, 1, "no turn"), *[("orphan", None, None, 0, "no conversation")] * 2, ("linked", 1, "r", 5, "first")]
+    want += [("further", 1, "r", 2, "second"), ("further", 1, "r", 1, None), ("orphan", 9, "ghost", 2, "sooner"), ("further", 8, "ghost", 1, "later")]
+    assert rows == sorted(want, key=repr)
+
+
+def test_tool_calls_equal_sql_where_keys_of_results_are_null(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    turns = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), *[(None, t, "assistant", f"lost {t}") for t in (1, 1, 3)], (2, None, "assistant", "when"), (3, None, "assistant", None)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(llm_queries.SQL["op7_tool_calls"])
+    names = [c[0] for c in want.description]
+    assert sorted(map(tuple, llm_queries.op7_tool_calls(spark, str(tmp_path)).select(*names).collect()), key=repr) == sorted(want.fetchall(), key=repr)
