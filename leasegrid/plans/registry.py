@@ -8,9 +8,19 @@ FLAGSHIP = "q_a08_stats"
 MODULES = (property_api, analytics, state, scalars, extracting, more, payload_queries, rules)
 
 
+def merged(modules) -> dict:
+    """name -> (query, SQL) of all modules. No name may be in two of them, as one query would silently replace the other."""
+    found: dict = {}
+    for m in modules:
+        if twice := sorted(found.keys() & m.ALL.keys()):
+            raise ValueError(f"{m.__name__} registers again: {', '.join(twice)}")
+        found |= m.ALL
+    return found
+
+
 def queries() -> dict:
-    return {name: query for m in MODULES for name, (query, _) in m.ALL.items()}
+    return {name: query for name, (query, _) in merged(MODULES).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for m in MODULES for name, (_, sql) in m.ALL.items() if sql}
+    return {name: sql for name, (_, sql) in merged(MODULES).items() if sql}

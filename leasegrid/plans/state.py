@@ -151,7 +151,7 @@ def orchestrate(spark, d):
     return r.withColumn("next_tier", F.col("rejected") / F.col("n") > 0.5)
 
 
-@query("q_x24_cascade", f"WITH {UNITS}, one AS (SELECT DISTINCT id FROM units WHERE plan = '1-URGENT'), two AS (SELECT DISTINCT id FROM units WHERE plan = '2-HIGH') SELECT id, 1 AS tier FROM one UNION ALL SELECT id, 2 FROM two WHERE id NOT IN (SELECT id FROM one)")
+@query("q_x24_tier_cascade", f"WITH {UNITS}, one AS (SELECT DISTINCT id FROM units WHERE plan = '1-URGENT'), two AS (SELECT DISTINCT id FROM units WHERE plan = '2-HIGH') SELECT id, 1 AS tier FROM one UNION ALL SELECT id, 2 FROM two WHERE id NOT IN (SELECT id FROM one)")
 def cascade(spark, d):
     u = units(spark, d)
     return frames.tier_cascade([u.where(F.col("plan") == p).select("id").distinct() for p in ("1-URGENT", "2-HIGH")], "id")
