@@ -16,7 +16,9 @@ RENT_LEAST, RENT_MOST = 200, 50_000
 #: Street words and directions with their short forms (fixed values).
 STREET = {
     "street": "st", "avenue": "ave", "road": "rd", "boulevard": "blvd", "drive": "dr", "lane": "ln", "court": "ct", "place": "pl",
-    "north": "n", "south": "s", "east": "e", "west": "w", "apartment": "apt", "suite": "ste",
+    "av": "ave", "terrace": "ter", "parkway": "pkwy", "highway": "hwy", "circle": "cir", "square": "sq",
+    "north": "n", "south": "s", "east": "e", "west": "w", "northeast": "ne", "northwest": "nw", "southeast": "se", "southwest": "sw",
+    "apartment": "apt", "suite": "ste", "floor": "fl",
 }
 
 

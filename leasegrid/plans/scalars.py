@@ -33,6 +33,18 @@ def address(spark, d):
     return table(spark, d, "documents").where("lang = 'de'").select("doc_id", v.address(F.substring("text", 1, 80)).alias("address"))
 
 
+_STREET = """MAP {'street': 'st', 'avenue': 'ave', 'av': 'ave', 'boulevard': 'blvd', 'road': 'rd', 'drive': 'dr', 'lane': 'ln', 'court': 'ct', 'place': 'pl',
+  'terrace': 'ter', 'parkway': 'pkwy', 'highway': 'hwy', 'circle': 'cir', 'square': 'sq', 'north': 'n', 'south': 's', 'east': 'e', 'west': 'w',
+  'northeast': 'ne', 'northwest': 'nw', 'southeast': 'se', 'southwest': 'sw', 'apartment': 'apt', 'suite': 'ste', 'floor': 'fl'}"""
+
+
+@query("q_f01_address_whole", rf"""SELECT doc_id, array_to_string(list_transform(list_filter(string_split(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}\p{{M}}_]+', ' ', 'g'), ' '), lambda w: w <> ''),
+  lambda w: coalesce({_STREET}[w], w)), ' ') AS address FROM documents""")
+def address_whole(spark, d):
+    """Every whole text; q_f01_address takes 80 characters of the German ones."""
+    return table(spark, d, "documents").select("doc_id", v.address(F.col("text")).alias("address"))
+
+
 @query("q_f03_zip", r"SELECT l_orderkey, l_linenumber, lpad(regexp_replace((l_partkey * 7)::VARCHAR, '\D', '', 'g'), greatest(5, 0), '0')[1:5] AS zip FROM lineitem")
 def zip_(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", v.zip_any((F.col("l_partkey") * 7).cast("string")).alias("zip"))
