@@ -67,6 +67,12 @@ def sorted_(spark, d):
     return top.withColumn("place", F.row_number().over(Window.orderBy(F.col("balance").desc_nulls_last(), "id")))
 
 
+@query("q_o01_sort_all", f"WITH {PROPERTIES} SELECT id, CASE WHEN id % 3 > 0 THEN balance END AS balance FROM props ORDER BY balance DESC NULLS LAST, id")
+def sorted_all(spark, d):
+    """The whole sort; q_o01_sort_nulls_last is its first 500 rows with their places."""
+    return frames.sort_nulls_last(properties(spark, d).select("id", F.when(F.col("id") % 3 > 0, F.col("balance")).alias("balance")), "balance", True, "id")
+
+
 @query("q_o02_page", f"WITH {SUMMARY} SELECT * FROM summary ORDER BY avg_rent DESC NULLS LAST, id LIMIT 25 OFFSET 50")
 def paged(spark, d):
     return frames.page(summaries(spark, d), "avg_rent", True, "id", number=3, size=25)

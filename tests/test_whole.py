@@ -23,3 +23,10 @@ def test_addresses_of_whole_texts_in_all_languages(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
     assert dict(con.execute(entry.oracle_sql()["q_f01_address_whole"]).fetchall()) == want
+
+
+def test_sort_gives_all_rows_in_order_with_nulls_last(spark):
+    d = "/root/testdata/sf0.01"
+    got = [tuple(r) for r in entry.queries()["q_o01_sort_all"](spark, d).collect()]
+    assert len(got) == spark.read.parquet(f"{d}/customer.parquet").count() > 500
+    assert got == sorted(got, key=lambda r: (r[1] is None, -(r[1] or 0), r[0])) and got[-1][1] is None
