@@ -1,7 +1,7 @@
 """Quality classifier: nearest-neighbour voting in a latent-semantic space.
 
 A text is a bag of token features that don't depend on its language: each word's case pattern, length, marks, repetition of a
-recent word, and (hashed) the word itself when it is common enough in the sample. Counts are damped, weighted by inverse document frequency
+recent word, and (hashed) the word itself when it is in `common` texts of the sample at least. Counts are damped, weighted by inverse document frequency
 and projected on the leading singular directions of a bounded labelled sample. The labelled vectors are broadcast (at most
 `sample` rows of `rank` numbers). Every text is compared with all of them by cosine, in blocks; the `k` nearest vote with
 weight similarity ** POWER.
@@ -12,6 +12,7 @@ Defined results: null and empty texts get the vote of the empty text's neighbour
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,8 +25,12 @@ from leasegrid.llm.shared import carried, slices
 
 from leasegrid.llm.language_id import flat_words
 
-DIMS = 2048
+SHAPES = 2048
+#: Shapes of words first, then words.
+DIMS = 2 * SHAPES
 POWER = 8.0
+#: What is taken off both ends of a word before it counts as itself.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~“”„‘’«»…–—¿¡"
 _class: list = []
 
 
@@ -42,7 +47,7 @@ def _classes() -> np.ndarray:
 
 
 def word_features(words: pa.Array) -> np.ndarray:
-    """One feature in 0..DIMS/2 for each distinct word: case pattern x length x number and kind of marks."""
+    """One feature in 0..SHAPES/2 for each distinct word: case pattern x length x number and kind of marks."""
     code = np.frombuffer(("\x00".join(words.to_pylist()) + "\x00").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     kind = np.where(code < 0x10000, _classes()[np.minimum(code, 0xFFFF)], np.where(code == 0, 0, 31))
     end = np.flatnonzero(code == 0)
@@ -56,11 +61,17 @@ def word_features(words: pa.Array) -> np.ndarray:
     last = np.where(size > 0, kind[np.maximum(end - 1, 0)], 0)
     key = ((case * 4 + np.minimum(3, marks)) * 40 + np.where(last >= 5, last, 0)) * 3 + np.where(size > 20, 2, np.where(size > 12, 1, 0))
     key = key * 2 + (digit > 0)
-    return (key * 2_654_435_761 >> 7) % (DIMS // 2)
+    return (key * 2_654_435_761 >> 7) % (SHAPES // 2)
 
 
-def bags(texts: pa.Array) -> np.ndarray:
-    """Dense feature counts, one row a text."""
+def word_keys(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each distinct word, lower-cased and without marks around it; 0 for words of marks only."""
+    bare = pc.utf8_trim(pc.utf8_lower(words), characters=MARKS).to_pylist()
+    return np.fromiter((int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) if w else 0 for w in bare), np.int64, len(bare))
+
+
+def bags(texts: pa.Array, vocabulary: np.ndarray) -> np.ndarray:
+    """Dense feature counts, one row a text; vocabulary: sorted keys of the words that count as themselves."""
     words, code, ends = flat_words(texts)
     n = len(texts)
     out = np.zeros((n, DIMS), dtype=np.float32)
@@ -68,7 +79,11 @@ def bags(texts: pa.Array) -> np.ndarray:
         own = word_features(words)
         doc = np.repeat(np.arange(n), np.diff(ends))
         out += np.bincount(doc * DIMS + own[code], minlength=n * DIMS).reshape(n, DIMS)
-        head = DIMS // 2
+        if len(vocabulary):
+            keys = word_keys(words)
+            known = (vocabulary[np.minimum(np.searchsorted(vocabulary, keys), len(vocabulary) - 1)] == keys)[code]
+            out += np.bincount(doc[known] * DIMS + SHAPES + keys[code][known] % (DIMS - SHAPES), minlength=n * DIMS).reshape(n, DIMS)
+        head = SHAPES // 2
         # Repeats: of the word before, and of one of the three before that; in the same text only.
         again, near = np.zeros(len(code), bool), np.zeros(len(code), bool)
         for back in (1, 2, 3, 4):
@@ -82,7 +97,7 @@ def bags(texts: pa.Array) -> np.ndarray:
         alike[1:] = (own[code][1:] == own[code][:-1]) & (doc[1:] == doc[:-1])
         out += np.bincount((doc * DIMS + head + 8 + own[code] % (head - 16))[alike], minlength=n * DIMS).reshape(n, DIMS)
     lines = pc.count_substring(pc.fill_null(texts, ""), "\n").to_numpy(zero_copy_only=False)
-    out[:, DIMS - 1] = np.diff(ends) / 50 * (lines == 0)
+    out[:, SHAPES - 1] = np.diff(ends) / 50 * (lines == 0)
     return out
 
 
@@ -93,6 +108,7 @@ class QualityModel:
     vectors: np.ndarray
     labels: np.ndarray
     k: int
+    vocabulary: np.ndarray
 
     def latent(self, counts: np.ndarray) -> np.ndarray:
         return _unit(_weighted(counts, self.idf) @ self.basis)
@@ -113,20 +129,34 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    total = np.maximum(counts[:, : DIMS // 2].sum(axis=1, keepdims=True), 1)
+    total = np.maximum(counts[:, : SHAPES // 2].sum(axis=1, keepdims=True), 1)
     return _unit(np.sqrt(counts / total) * idf)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 4096, rank: int = 48, k: int = 15) -> QualityModel:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 4096, rank: int = 48, k: int = 15, common: int = 8) -> QualityModel:
     """Learns from at most `sample` labelled rows, half of each label if there are as many, chosen by a hash of the id."""
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).cast("int").alias("_y"))
     picked = [known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(sample // 2) for y in (0, 1)]
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(picked[0].union(picked[1])), "_id")
 
+    def terms(batches):
+        for batch in batches:
+            for part in slices(batch, 1, 2 << 20, 512):
+                words, code, ends = flat_words(part.column(1))
+                keys = word_keys(words)[code]
+                of = np.repeat(np.arange(part.num_rows), np.diff(ends))
+                each = np.unique(np.stack([of, keys], axis=1), axis=0)[:, 1]
+                key, n = np.unique(each[each != 0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], names=["key", "n"])
+
+    # Words in few texts stay on the executors: at most the sample's words / common come back.
+    often = rows.mapInArrow(terms, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= common).select("key").toPandas()
+    vocabulary = np.sort(often["key"].to_numpy(dtype=np.int64))
+
     def counted(batches):
         for batch in batches:
             for part in slices(batch, 1, 2 << 20, 512):
-                counts = bags(part.column(1))
+                counts = bags(part.column(1), vocabulary)
                 use = [np.flatnonzero(c) for c in counts]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([u.astype(np.int32).tobytes() for u in use], pa.binary()), pa.array([c[u].tobytes() for c, u in zip(counts, use, strict=True)], pa.binary())], names=["id", "y", "at", "n"])
 
@@ -143,7 +173,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     basis = np.linalg.qr(rng.standard_normal((DIMS, rank)).astype(np.float32))[0]
     for _ in range(8 if len(x) else 0):
         basis = np.linalg.qr(x.T @ (x @ basis))[0]
-    return QualityModel(idf, basis.astype(np.float32), _unit(x @ basis).astype(np.float32), y, k)
+    return QualityModel(idf, basis.astype(np.float32), _unit(x @ basis).astype(np.float32), y, k, vocabulary)
 
 
 def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
@@ -154,7 +184,7 @@ def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col
         model = shared.value
         for batch in batches:
             for part in slices(batch, 1, 2 << 20, 512):
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.clip(model.scores(bags(part.column(1))), 0, 1).astype(np.float64)), *part.columns[2:]], names=[id_col, "score", *carry])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.clip(model.scores(bags(part.column(1), model.vocabulary)), 0, 1).astype(np.float64)), *part.columns[2:]], names=[id_col, "score", *carry])
 
     kind = docs.schema[id_col].dataType.simpleString()
     more = carried(docs, carry, (id_col, "score"))

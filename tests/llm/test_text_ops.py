@@ -259,6 +259,17 @@ def test_quality_on_held_out_labels(spark):
     assert {r["score"] for r in quality.score(odd, quality.fit(docs, labels.limit(0))).collect()} == {1.0}
 
 
+def test_quality_by_words_alone(spark):
+    """Sentences of one shape that differ only in which words they hold."""
+    rng = random.Random(9)
+    words = {1: ["river", "stone", "cloud", "field", "north", "light", "table", "piano"], 0: ["bonus", "prize", "cheap", "click", "offer", "lucky", "sales", "promo"]}
+    rows = [(i, " ".join(rng.choice(words[i % 2]) for _ in range(30)).capitalize() + ".", i % 2) for i in range(400)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = quality.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows[:300]], "doc_id long, quality int"))
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    assert sum((got[i] >= 0.5) == (y == 1) for i, _, y in rows[300:]) >= 95
+
+
 def test_pipeline_stages_against_brute_force(spark):
     pipeline = pytest.importorskip("corpus_pipeline")
     sf = "/root/testdata/sf0.001"
