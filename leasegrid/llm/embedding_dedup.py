@@ -4,11 +4,13 @@ On unit vectors, cosine >= t is a distance of at most r = sqrt(2 - 2 t). Each ve
 is copied to each other cell whose members can lie within r: by the triangle inequality those with d(x, p) <= d(x, home) + 2 r,
 and, sharper, those whose dividing plane is within r of x. Every link of a vector is then found in its home cell, so cells join
 independently and each counts the links of its own members only. Equal vectors are made one row first. Cells are cut into
-tiles of bounded size; a tile gives link counts and a spanning forest, never its pairs.
+tiles of bounded size; a tile gives link counts and a spanning forest, never its pairs. Vectors of different length have no
+cosine: each length has pivots and cells of its own, and the length is part of a cell's key.
 
-Defined results: vectors that are null, empty, zero, hold null or non-finite components, or differ in length from the
-most common length link with nothing; a null id gets 0 links, a null component and kept = false; rows may repeat; only the id
-and vector columns are read.
+Defined results: vectors that are null, empty, zero, or hold null or non-finite components link with nothing; a null id gets 0
+links, a null component and kept = false; each row is a vector of its own, so rows that repeat an id with the same vector link
+with each other, and rows that repeat it with another vector link only if the vectors do; component ids are the smallest id
+reachable; only the id and vector columns are read.
 """
 
 from __future__ import annotations
@@ -20,11 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leasegrid.llm.shared import connected, written
-from leasegrid.llm.vectors import matrix, pivots, unit, usable, usual_length
+from leasegrid.llm.shared import connected, discard, join_hot, written
+from leasegrid.llm.vectors import by_length, matrix, mixed, pivots, spans, unit, usable
 
-HOMES, MEMBERS = 2048, 8192
+HOMES, MEMBERS = 4096, 8192
 SLACK = 1e-9
+FAR = np.iinfo(np.int64).max
 
 
 def _cells(u: np.ndarray, p: np.ndarray, apart: np.ndarray, radius: float):
@@ -39,67 +42,78 @@ def _cells(u: np.ndarray, p: np.ndarray, apart: np.ndarray, radius: float):
     return home, must
 
 
-def _dealt(vectors: DataFrame, length: int, p: np.ndarray, radius: float, blocks: np.ndarray | None) -> DataFrame:
-    """Without blocks: (cell, homes, members) counts. With: (cell, x, y, side, id, w, vec), side 0 for homes, 1 for members."""
-    shared = vectors.sparkSession.sparkContext.broadcast((p, np.sqrt(np.maximum(2 - 2 * (p @ p.T), 0)), blocks))
+def _dealt(vectors: DataFrame, cells: dict, radius: float, blocks: dict | None) -> DataFrame:
+    """Without blocks: (length, cell, homes, members) counts. With: (length, cell, x, y, side, node, w, vec), side 0 for homes, 1 for members.
+
+    cells: length -> (pivots, distances between them); a length that has none is one cell.
+    """
+    shared = vectors.sparkSession.sparkContext.broadcast((cells, blocks))
 
     def run(batches):
-        p, apart, blocks = shared.value
+        cells, blocks = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                home, must = _cells(unit(matrix(part.column(2), length)), p, apart, radius)
-                if blocks is None:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(p))), pa.array(np.bincount(home, minlength=len(p))), pa.array(must.sum(axis=0))], names=["cell", "homes", "members"])
-                    continue
-                mix = (part.column(0).to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-                cell, x, y, side, row = [], [], [], [], []
-                for i in range(part.num_rows):
-                    h = home[i]
-                    nx, ny = blocks[h]
-                    for b in range(ny):
-                        cell.append(h), x.append(int(mix[i]) % nx), y.append(b), side.append(0), row.append(i)
-                    for c in np.flatnonzero(must[i]):
-                        nx, ny = blocks[c]
-                        for b in range(nx):
-                            cell.append(c), x.append(b), y.append(int(mix[i]) % ny), side.append(1), row.append(i)
-                for k in range(0, len(row), 8192):
-                    take = pa.array(row[k : k + 8192], pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(c[k : k + 8192], pa.int32()) for c in (cell, x, y, side)] + [part.column(c).take(take) for c in (0, 1, 2)], names=["cell", "x", "y", "side", "id", "w", "vec"])
+                for length, part in by_length(batch.slice(at, 1024), 2):
+                    if length in cells:
+                        p, apart = cells[length]
+                        home, must = _cells(unit(matrix(part.column(2), length)), p, apart, radius)
+                    else:
+                        home, must = np.zeros(part.num_rows, np.int64), np.ones((part.num_rows, 1), bool)
+                    n = must.shape[1]
+                    if blocks is None:
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, length)), pa.array(np.arange(n)), pa.array(np.bincount(home, minlength=n)), pa.array(must.sum(axis=0))], names=["length", "cell", "homes", "members"])
+                        continue
+                    mix = mixed(part.column(0).to_numpy())
+                    nx, ny = blocks[length].T
+                    own, y0 = spans(ny[home])
+                    row, cell = np.nonzero(must)
+                    pair, x1 = spans(nx[cell])
+                    row, cell = row[pair], cell[pair]
+                    place = np.stack([np.r_[home[own], cell], np.r_[mix[own] % nx[home[own]], x1], np.r_[y0, mix[row] % ny[cell]], np.r_[np.zeros(len(own), np.int64), np.ones(len(row), np.int64)]])
+                    row = np.r_[own, row]
+                    for k in range(0, len(row), 8192):
+                        take = pa.array(row[k : k + 8192])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(take), length, np.int32)), *(pa.array(c[k : k + 8192].astype(np.int32)) for c in place), *(part.column(c).take(take) for c in (0, 1, 2))], names=["length", "cell", "x", "y", "side", "node", "w", "vec"])
 
     kind = vectors.schema["vec"].dataType.simpleString()
-    return vectors.mapInArrow(run, "cell long, homes long, members long" if blocks is None else f"cell int, x int, y int, side int, id long, w long, vec {kind}")
-
-
-def _forest(found: np.ndarray, home_at: np.ndarray, label: np.ndarray) -> None:
-    """Joins each home with the members it links to; label holds the smallest number of each component so far."""
-    for i, row in enumerate(found):
-        of = np.unique(label[np.append(np.flatnonzero(row), home_at[i])])
-        if len(of) > 1:
-            label[np.isin(label, of)] = of[0]
-
-
-def _tile(table: pa.Table, length: int, least: float) -> pa.RecordBatch:
+    return vectors.mapInArrow(run, "length long, cell long, homes long, members long" if blocks is None else f"length int, cell int, x int, y int, side int, node long, w long, vec {kind}")
+
+
+def _merge(found: np.ndarray, left: np.ndarray, right: np.ndarray, label: np.ndarray) -> None:
+    """Joins left[i] with each right[j] that found[i, j] marks; label holds the smallest number of each component so far."""
+    while True:
+        low = np.minimum(label[left], np.where(found, label[right][None, :], FAR).min(axis=1))
+        down = np.where(found, low[:, None], FAR).min(axis=0)
+        up = np.arange(len(label))
+        np.minimum.at(up, label[left], low)
+        np.minimum.at(up, label[right], np.minimum(down, label[right]))
+        while (up[up] != up).any():
+            up = up[up]
+        now = up[label]
+        if (now == label).all():
+            return
+        label[:] = now
+
+
+def _tile(table: pa.Table, least: float) -> pa.RecordBatch:
     """(a, b, n): a home's links in this tile with b null, and the forest's edges with n null."""
     side = table.column("side").to_numpy()
-    ids, w = table.column("id").to_numpy(), table.column("w").to_numpy()
-    u = unit(matrix(table.column("vec").combine_chunks(), length))
+    nodes_of, w = table.column("node").to_numpy(), table.column("w").to_numpy()
+    u = unit(matrix(table.column("vec").combine_chunks(), int(table.column("length")[0].as_py())))
     homes, members = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    nodes, number = np.unique(ids, return_inverse=True)
+    nodes, number = np.unique(nodes_of, return_inverse=True)
     label, links = np.arange(len(nodes)), np.zeros(len(homes), dtype=np.int64)
     for at in range(0, len(homes), 256):
         own = homes[at : at + 256]
         found = (u[own] @ u[members].T) >= least
-        found &= ids[own][:, None] != ids[members][None, :]
+        found &= number[own][:, None] != number[members][None, :]
         links[at : at + 256] = found @ w[members]
-        some = np.flatnonzero(found.any(axis=1))
-        if len(some):
-            wide = np.zeros((len(some), len(nodes)), dtype=bool)
-            wide[:, number[members]] = found[some]
-            _forest(wide, number[own[some]], label)
+        rows, columns = np.flatnonzero(found.any(axis=1)), np.flatnonzero(found.any(axis=0))
+        if len(rows):
+            _merge(found[np.ix_(rows, columns)], number[own[rows]], number[members[columns]], label)
     tied = np.flatnonzero(label != np.arange(len(nodes)))
     has = links > 0
-    a = np.concatenate([ids[homes][has], nodes[tied]])
+    a = np.concatenate([nodes_of[homes][has], nodes[tied]])
     none = np.concatenate([np.zeros(has.sum(), bool), np.ones(len(tied), bool)])
     b = np.concatenate([np.zeros(has.sum(), np.int64), nodes[label[tied]]])
     n = np.concatenate([links[has], np.zeros(len(tied), np.int64)])
@@ -134,31 +148,35 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     if not 0 < least <= 1:
         raise ValueError("least must be over 0, 1 at most")
     every = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
-    good = every.where(F.col("id").isNotNull() & usable("vec"))
-    length = usual_length(good, "vec")
-    good = good.where(F.size("vec") == length).withColumns({"h1": F.xxhash64("vec"), "h2": F.xxhash64(F.lit(1), "vec")})
-    reps = written(good.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("w"), F.first("vec").alias("vec")), "vectors")
-    n = reps.count()
-    vecs, radius = reps.select("id", "w", "vec"), math.sqrt(2 - 2 * least)
-    p = pivots(vecs, "id", "vec", max(1, min(most_pivots, -(-n // cell_rows))), length)
-    links = "a long, b long, n long"
-    if n:
-        # One row a pivot comes back.
-        sizes = _dealt(vecs, length, p, radius, None).groupBy("cell").agg(F.sum("homes").alias("homes"), F.sum("members").alias("members")).collect()
-        blocks = np.ones((len(p), 2), dtype=np.int64)
-        for r in sizes:
-            blocks[r["cell"]] = max(1, -(-r["homes"] // HOMES)), max(1, -(-r["members"] // MEMBERS))
-        by = ["cell", "x", "y"]
-        tiles = _dealt(vecs, length, p, radius, blocks).repartition(*by).sortWithinPartitions(*by)
-        found = tiles.mapInArrow(sorted_tiles(by, lambda t: _tile(t, length, least)), links)
-    else:
-        found = vectors.sparkSession.createDataFrame([], links)
-    found = written(found, "vector-links")
-    counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
+    takes_part = F.col("id").isNotNull() & usable("vec")
+    key = F.struct(F.xxhash64("vec").alias("h1"), F.xxhash64(F.lit(1), "vec").alias("h2"))
+    good = every.where(takes_part).withColumn("key", key)
+    # Every distinct vector once, with a number that stays as it is, because the table is written.
+    reps = good.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("w"), F.first("vec").alias("vec"))
+    reps = written(reps.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    vecs, radius = reps.select("node", "w", "vec"), math.sqrt(2 - 2 * least)
+    # A row for each length that occurs.
+    lengths = reps.groupBy(F.size("vec").alias("length")).agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w")).collect()
+    cells = {}
+    for r in lengths:
+        if r["n"] > cell_rows:
+            p = pivots(vecs, "node", "vec", min(most_pivots, -(-r["n"] // cell_rows)), r["length"])
+            cells[r["length"]] = p, np.sqrt(np.maximum(2 - 2 * (p @ p.T), 0))
+    # A row for each pivot comes back.
+    blocks = {r["length"]: np.ones((len(cells[r["length"]][0]) if r["length"] in cells else 1, 2), dtype=np.int64) for r in lengths}
+    for r in _dealt(vecs, cells, radius, None).groupBy("length", "cell").agg(F.sum("homes").alias("homes"), F.sum("members").alias("members")).collect():
+        blocks[r["length"]][r["cell"]] = max(1, -(-r["homes"] // HOMES)), max(1, -(-r["members"] // MEMBERS))
+    by = ["length", "cell", "x", "y"]
+    tiles = _dealt(vecs, cells, radius, blocks).repartition(*by).sortWithinPartitions(*by)
+    found = written(tiles.mapInArrow(sorted_tiles(by, lambda t: _tile(t, least)), "a long, b long, n long"), "vector-links")
+    counts = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n"))
     groups = connected(found.where("b is not null").select("a", "b"))
-    rep = reps.select("h1", "h2", F.col("id").alias("rep"), "w").join(counts.withColumnRenamed("a", "rep"), "rep", "left").join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    rep = rep.select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
-    takes_part = F.col("id").isNotNull() & usable("vec") & (F.size("vec") == length)
-    keyed = every.select("id", F.when(takes_part, F.xxhash64("vec")).alias("h1"), F.when(takes_part, F.xxhash64(F.lit(1), "vec")).alias("h2"))
-    out = keyed.join(rep, ["h1", "h2"], "left").select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    own = written(reps.select("key", "id", "w", "node").join(counts, "node", "left").join(groups, "node", "left").select("key", "id", "w", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("component", "node").alias("component")), "vector-groups")
+    discard(reps, found)
+    low = own.groupBy("component").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("rows"))
+    total = sum(r["n"] for r in lengths)
+    own = join_hot(own, low, "component", "rows", total).select("key", (F.col("n") + F.col("w") - 1).alias("n_links"), F.col("low").alias("component_id"), F.col("w").alias("rows"))
+    linked = join_hot(good.select("id", "key"), own, "key", "rows", sum(r["w"] for r in lengths))
+    alone = every.where(~takes_part).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    out = linked.select("id", "n_links", "component_id").unionByName(alone).withColumnRenamed("id", id_col)
     return out.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(False)))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +16,14 @@ def usable(vec: str) -> Column:
     return F.coalesce(x.isNotNull() & (F.size(x) > 0) & ~bad & F.exists(x, lambda v: v != 0), F.lit(False))
 
 
-def usual_length(df: DataFrame, vec: str) -> int:
-    """The most common vector length, the smallest of equals; 0 for an empty table."""
-    row = df.groupBy(F.size(vec).alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return row["d"] if row else 0
+def by_length(batch, column: int):
+    """(length, rows) for each length of vectors in an Arrow batch."""
+    size = pc.list_value_length(batch.column(column)).to_numpy(zero_copy_only=False)
+    if len(size) and (size == size[0]).all():
+        yield int(size[0]), batch
+        return
+    for length in np.unique(size).tolist():
+        yield length, batch.filter(pa.array(size == length))
 
 
 def matrix(column, length: int) -> np.ndarray:
@@ -32,10 +38,22 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def pivots(df: DataFrame, id_col: str, vec: str, count: int, length: int) -> np.ndarray:
-    """At most `count` distinct unit vectors, chosen by a hash of the id."""
-    got = df.select(F.col(vec).cast("array<double>").alias("v"), F.xxhash64(F.col(id_col)).alias("h"), F.col(id_col).alias("i")).orderBy("h", "i").limit(count).collect()
+def pivots(df: DataFrame, key: str, vec: str, count: int, length: int) -> np.ndarray:
+    """At most `count` distinct unit vectors of one length, chosen by a hash of the key."""
+    own = df.where(F.size(vec) == length)
+    got = own.select(F.col(vec).cast("array<double>").alias("v"), F.xxhash64(F.col(key)).alias("h"), F.col(key).alias("i")).orderBy("h", "i").limit(count).collect()
     if not got:
         return np.zeros((0, length))
     x = unit(np.array([r["v"] for r in got], dtype=np.float64))
     return x[np.sort(np.unique(x.round(6), axis=0, return_index=True)[1])]
+
+
+def mixed(key: np.ndarray) -> np.ndarray:
+    """31 well-mixed bits of whole numbers."""
+    return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64)
+
+
+def spans(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i repeated counts[i] times, 0..counts[i]-1 beside it)."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)

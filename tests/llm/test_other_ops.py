@@ -39,20 +39,44 @@ def frame(spark, rows):
     return spark.createDataFrame([(i, v, 1.0, "x") for i, v in rows], "vec_id long, embedding array<double>, score double, component_id string").repartition(3)
 
 
-def good(rows):
-    return {i: np.array(v) for i, v in rows if i is not None and v and len(v) == 8 and None not in v and np.isfinite(v).all() and np.any(v)}
+def good(rows, length=8):
+    return {i: np.array(v) for i, v in rows if i is not None and v and len(v) == length and None not in v and np.isfinite(v).all() and np.any(v)}
+
+
+def near_by_force(rows):
+    """(id, n_links, component, kept) of each row; each row is a vector of its own."""
+    ok = [k for k, r in enumerate(rows) if r[0] is not None and r[1] and good([r], len(r[1]))]
+    unit = {k: np.array(rows[k][1]) / np.abs(rows[k][1]).max() for k in ok}
+    unit = {k: v / np.linalg.norm(v) for k, v in unit.items()}
+    links = [(a, b) for a, b in itertools.combinations(ok, 2) if len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.9]
+    part = closure(range(len(rows)), links)
+    low = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            low[part[k]] = min(i, low.get(part[k], i))
+    n = [sum(k in x for x in links) for k in range(len(rows))]
+    return sorted(((i, n[k], low.get(part[k]) if i is not None else None, i is not None and i == low[part[k]]) for k, (i, _) in enumerate(rows)), key=repr)
 
 
 @pytest.mark.parametrize("cell", [4096, 16])
-def test_near_duplicates_equal_brute_force(spark, odd, cell):
-    unit = {i: v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max()) for i, v in good(odd).items()}
-    links = [(a, b) for a, b in itertools.combinations(unit, 2) if unit[a] @ unit[b] >= 0.9]
-    low = closure([i for i, _ in odd if i is not None], links)
-    n = {i: sum(i in x for x in links) for i in low}
+def test_near_duplicates_equal_brute_force(spark, odd, cell, monkeypatch):
+    if cell == 16:
+        monkeypatch.setattr(embedding_dedup, "HOMES", 7)
+        monkeypatch.setattr(embedding_dedup, "MEMBERS", 11)
     got = embedding_dedup.near_duplicates(frame(spark, odd), cell_rows=cell).collect()
-    assert sorted(tuple(r) for r in got if r[0] is not None) == sorted((i, n[i], low[i], i == low[i]) for i in low)
-    assert [tuple(r) for r in got if r[0] is None] == [(None, 0, None, False)]
-    assert embedding_dedup.near_duplicates(frame(spark, odd).limit(0)).count() == 0
+    assert sorted(map(tuple, got), key=repr) == near_by_force(odd)
+    assert embedding_dedup.near_duplicates(frame(spark, odd).limit(0), cell_rows=cell).count() == 0
+
+
+def test_near_duplicates_of_several_lengths_and_repeated_ids(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, rng.normal(size=2 + i % 3).round(1).tolist()) for i in range(90)]
+    rows += [(200, [1.0, 2.0, 3.0]), (201, [1.0, 2.0, 3.0]), (202, [2.0, 4.0, 6.0]), (203, [1.0, 2.0, 3.0, 0.0])]
+    # One id with two vectors, and a row twice.
+    rows += [(300, [5.0, 0.0, 0.0, 0.0]), (300, [0.0, 5.0, 0.0, 0.0]), (301, [5.0, 0.1, 0.0, 0.0]), (301, [5.0, 0.1, 0.0, 0.0])]
+    for cell in (4096, 8):
+        got = embedding_dedup.near_duplicates(frame(spark, rows), cell_rows=cell).collect()
+        assert sorted(map(tuple, got), key=repr) == near_by_force(rows)
 
 
 def test_permutation_index_recall_and_scores(spark):
@@ -72,31 +96,75 @@ def test_permutation_index_recall_and_scores(spark):
     assert len(found) == 25 and hits / total >= 0.9
 
 
-def test_permutation_index_is_exact_on_few_rows_and_ties(spark, odd):
-    x = good(odd)
-    got = permutation_ann.search(frame(spark, odd), F.col("vec_id") % 20 == 0, top=5, probes=64, posted=64, part=1.0).collect()
-    for q in {i for i in x if i % 20 == 0}:
-        mine = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
-        want = sorted((i for i in x if i != q), key=lambda i: (-float((x[i] * x[q]).sum()), i))[:5]
-        assert [r["vec_id"] for r in mine] == want
-    assert {r["query_id"] for r in got} == {i for i in x if i % 20 == 0}
-    assert permutation_ann.search(frame(spark, odd).limit(0), F.col("vec_id") % 20 == 0).count() == 0
+def neighbours(rows, queries, top):
+    """{query: [(id, score)]}: exact, best vector of each id, vectors of the query's length only."""
+    x = [(i, np.array(v)) for i, v in rows if i is not None and v and good([(i, v)], len(v))]
+    out = {}
+    for q, v in x:
+        if q in queries:
+            score = {}
+            for i, w in x:
+                if i != q and len(w) == len(v):
+                    score[i] = max(score.get(i, -np.inf), float((w * v).sum()))
+            out[q] = sorted(score.items(), key=lambda r: (-r[1], r[0]))[:top]
+    return out
+
+
+def recall(got, want):
+    """Also: ranks run from 1, rows are in order, and every query has as many rows as there are."""
+    found = {}
+    for r in sorted(got, key=lambda r: r["rank"]):
+        found.setdefault(r["query_id"], []).append(r)
+    assert found.keys() == {q for q, w in want.items() if w}
+    for q, rows in found.items():
+        assert [r["rank"] for r in rows] == list(range(1, len(want[q]) + 1)) and len({r["vec_id"] for r in rows}) == len(rows)
+        assert rows == sorted(rows, key=lambda r: (-r["score"], r["vec_id"]))
+    return sum(len({r["vec_id"] for r in rows} & {i for i, _ in want[q]}) for q, rows in found.items()) / sum(len(w) for w in want.values())
+
+
+def test_permutation_index_on_few_rows_and_ties(spark, odd):
+    by = F.col("vec_id") % 20 == 0
+    want = neighbours(odd, {i for i, _ in odd if i is not None and i % 20 == 0}, 5)
+    # With the registered parameters; and with all that matters met, where results are exact.
+    assert recall(permutation_ann.search(frame(spark, odd), by, top=5).collect(), want) >= 0.9
+    got = permutation_ann.search(frame(spark, odd), by, top=5, aim=1.0, sample=1000).collect()
+    assert {q: [r["vec_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] for q in want} == {q: [i for i, _ in w] for q, w in want.items()}
+    assert permutation_ann.search(frame(spark, odd).limit(0), by).count() == 0
+
+
+@pytest.mark.parametrize("blocks", [None, (10, 7)])
+def test_permutation_index_finds_all_there_is_in_small_clusters_and_every_length(spark, blocks, monkeypatch):
+    if blocks:
+        monkeypatch.setattr(permutation_ann, "BLOCK", blocks[0])
+        monkeypatch.setattr(permutation_ann, "QUERIES", blocks[1])
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(5, 16)) * 10
+    rows = [(i, (base[i % 5] + rng.normal(size=16) * 0.01).tolist()) for i in range(75)]
+    rows += [(100 + i, rng.normal(size=3).tolist()) for i in range(9)] + [(0, [1.0, 0.0, 2.0]), (400, [1.0] * 5)]
+    ids = {i for i, _ in rows if i % 4 == 0}
+    want = neighbours([r for r in rows if len(r[1]) == 16], ids, 20)
+    for q, w in neighbours([r for r in rows if len(r[1]) < 16], ids, 20).items():
+        want[q] = sorted(want.get(q, []) + w, key=lambda r: (-r[1], r[0]))[:20]
+    got = permutation_ann.search(frame(spark, rows), F.col("vec_id") % 4 == 0).collect()
+    assert recall(got, want) >= 0.95 and 400 not in {r["query_id"] for r in got}
+
+
+def test_permutation_index_recall_of_inner_products_of_unlike_lengths(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=24) * np.exp(rng.normal() * 0.5)).tolist()) for i in range(3000)]
+    want = neighbours(rows, {i for i in range(0, 3000, 20)}, 20)
+    assert recall(permutation_ann.search(frame(spark, rows), F.col("vec_id") % 20 == 0).collect(), want) >= 0.9
 
 
 def test_permutation_index_counts_a_repeated_id_once(spark):
     rng = np.random.default_rng(6)
     base = rng.normal(size=8)
-    x = {i: [(base + rng.normal(size=8) * 0.4).tolist()] for i in range(1, 61)}
-    x[0] = [base.tolist()]
+    rows = [(i, (base + rng.normal(size=8) * 0.4).tolist()) for i in range(1, 61)] + [(0, base.tolist())]
     # 70 is repeated as it is, 71 with a little of another vector in each row; both are closer than all others.
-    x[70], x[71] = [(base * 2).tolist()] * 30, [(base * 2 - i * 1e-3).tolist() for i in range(30)]
-    rows = frame(spark, [(i, v) for i, vs in x.items() for v in vs])
-    score = {i: max(float((np.array(v) * base).sum()) for v in vs) for i, vs in x.items()}
-    for cuts in ({"part": 1.0}, {"part": 0.0, "least": 30}):
-        got = sorted(permutation_ann.search(rows, F.col("vec_id") == 0, top=20, probes=64, posted=64, **cuts).collect(), key=lambda r: r["rank"])
-        assert [r["rank"] for r in got] == list(range(1, 21)) and len({r["vec_id"] for r in got}) == 20
-        if cuts["part"]:
-            assert [r["vec_id"] for r in got] == sorted(score.keys() - {0}, key=lambda i: (-score[i], i))[:20]
+    rows += [(70, (base * 2).tolist())] * 30 + [(71, (base * 2 - i * 1e-3).tolist()) for i in range(30)]
+    want = neighbours(rows, {0}, 20)
+    for aim, least in ((1.0, 1.0), (0.3, 0.3)):
+        assert recall(permutation_ann.search(frame(spark, rows), F.col("vec_id") == 0, aim=aim).collect(), want) >= least
 
 
 def test_components_equal_closure(spark):
