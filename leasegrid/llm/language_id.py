@@ -1,16 +1,18 @@
 """Language identification: script ranges narrow the candidates, then Viterbi over per-word scores labels spans.
 
 Model: log probabilities of letter trigrams (hashed) for each language, and the languages that each script's letters occur in.
-A word's score for a language is the sum over its trigrams; languages that don't use the word's script lose SCRIPT_COST.
-Changing language between two words costs `switch`. A text where no language beats the best single one by more than half of
+The script of a word's first letter narrows the candidates: only languages that use it are scored, all others are shut out
+(BARRED is more than any text's words and switches come to). A script that no language was seen with leaves all of them.
+A word's score for a candidate is the sum over its trigrams; words without letters favour none. Changing language between two words costs `switch`. A text where no language beats the best single one by more than half of
 `switch` on any run of words needs no trellis: a path with m runs off the best language pays for m - 1 changes at least, which
 from m = 2 on is half of `switch` a run or more, and a single run that covers the whole text gains nothing; so the constant path
 is optimal.
 
 The fit reads a bounded sample of labelled texts (`sample` rows, a parameter); prediction reads whole texts only.
 
-Defined results: null texts and texts without letters are `und` with score 0; ties go to the language that sorts first;
-rows may repeat; only the named columns are read.
+Defined results: null texts and texts without letters are `und` with score 0, and so is every text if nothing was learned; ties
+go to the language that sorts first; texts may hold any character, NUL too, and be of any length; rows may repeat; only the named columns
+are read, and a carried column may not have the name of a column that is made.
 """
 
 from __future__ import annotations
@@ -24,10 +26,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leasegrid.llm.shared import carried, slices
+from leasegrid.llm.shared import carried, code_points, slices
 
 BINS = 1 << 15
-SCRIPT_COST = 60.0
+BARRED = 1e12
+#: Most cells (words x languages, padded) of one trellis of several texts.
+CELLS = 1 << 22
 #: Letters by script; the ranges of the Unicode blocks (fixed values).
 SCRIPTS = [
     ("Latin", [(0x41, 0x24F), (0x1E00, 0x1EFF), (0x2C60, 0x2C7F), (0xA720, 0xA7FF), (0xFF21, 0xFF5A)]),
@@ -70,14 +74,16 @@ def flat_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 def trigrams(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of lower-cased words: (word of each trigram, its bin, letters of each word, script of each word's first letter)."""
     letter, script = _letters()
-    low = pc.utf8_lower(words)
-    code = np.frombuffer(("\x00" + "\x00".join(low.to_pylist()) + "\x00").encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+    code, of, _, _ = code_points(pc.utf8_lower(words))
     near = np.minimum(code, 0xFFFF)
     is_letter = np.where(code < 0x10000, letter[near], [unicodedata.category(chr(c))[0] == "L" for c in code.tolist()] if (code >= 0x10000).any() else False)
-    of = np.cumsum(code == 0) - 1
     mid = np.flatnonzero(is_letter)
-    c = np.where(is_letter, code, 0)
-    bins = ((c[mid - 1] * 1_000_003 + c[mid]) * 998_244_353 + c[mid + 1]) * 11_400_714_819_323_198 >> 20
+    # Neighbours that are no letters, or belong to another word, are 0.
+    c = np.concatenate([[0], np.where(is_letter, code, 0), [0]])
+    word = np.concatenate([[-1], of, [-1]])
+    at = mid + 1
+    left, right = c[at - 1] * (word[at - 1] == word[at]), c[at + 1] * (word[at + 1] == word[at])
+    bins = ((left * 1_000_003 + c[at]) * 998_244_353 + right) * 11_400_714_819_323_198 >> 20
     n = len(words)
     count = np.bincount(of[mid], minlength=n)[:n]
     first = np.full(n, OTHER, dtype=np.int8)
@@ -97,8 +103,15 @@ class LanguageModel:
     def word_scores(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         of, bins, count, script = trigrams(words)
         n = len(words)
-        scores = np.stack([np.bincount(of, weights=self.logp[bins, k], minlength=n)[:n] for k in range(len(self.langs))], axis=1).astype(np.float64)
-        scores -= np.where(self.allowed[script] | (count == 0)[:, None], 0.0, SCRIPT_COST)
+        scores = np.zeros((n, len(self.langs)))
+        may = self.allowed[script] | (count == 0)[:, None]
+        for k in range(len(self.langs)):
+            if may[:, k].all():
+                scores[:, k] = np.bincount(of, weights=self.logp[bins, k], minlength=n)[:n]
+            elif may[:, k].any():
+                use = may[of, k]
+                scores[:, k] = np.bincount(of[use], weights=self.logp[bins[use], k], minlength=n)[:n]
+        scores[~may] = -BARRED
         return scores, count
 
     def paths(self, scores: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -110,15 +123,20 @@ class LanguageModel:
                 continue
             s = scores[a:b]
             best = int(s.sum(axis=0).argmax())
-            gain = np.cumsum(s - s[:, best : best + 1], axis=0)
+            # The cut keeps the sums' precision; a lower step could only make a run look worse.
+            gain = np.cumsum(np.maximum(s - s[:, best : best + 1], -1e6), axis=0)
             rise = (gain - np.minimum(np.minimum.accumulate(gain, axis=0), 0.0)).max() if len(s) > 1 else 0.0
             if len(self.langs) == 1 or max(rise, gain[0].max()) <= self.switch / 2:
                 label[a:b] = best
             else:
                 hard.append(i)
-        hard.sort(key=lambda i: ends[i + 1] - ends[i])
-        for at in range(0, len(hard), 64):
-            self._trellis(scores, ends, hard[at : at + 64], label)
+        # Longest first: a group is as many cells as its first text has words, times its texts.
+        hard.sort(key=lambda i: ends[i] - ends[i + 1])
+        at = 0
+        while at < len(hard):
+            most = int(max(1, min(64, CELLS // ((ends[hard[at] + 1] - ends[hard[at]]) * len(self.langs)))))
+            self._trellis(scores, ends, hard[at : at + most], label)
+            at += most
         return label
 
     def _trellis(self, scores, ends, group, label) -> None:
@@ -143,12 +161,13 @@ class LanguageModel:
             at = back[t][np.arange(len(group)), at] if t else at
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", order: str = "doc_id", sample: int = 4000, switch: float = 12.0) -> LanguageModel:
-    """Learns from at most `sample` distinct rows with text and lang, chosen by a hash of `order` and the text; counts are made on the executors."""
-    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(order, text_col).alias("h"))
-    # Only hashes are sorted; the texts of the chosen rows are read by a filter.
-    most = rows.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    rows = rows.where(F.col("h") <= F.lit(most)).select("text", "lang").limit(2 * sample).repartition(8)
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = 4000, switch: float = 12.0) -> LanguageModel:
+    """Learns from at most `sample` distinct pairs of text and lang, chosen by a hash of both; counts are made on the executors."""
+    rows = labelled.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = rows.withColumn("h", F.xxhash64("text", "lang"))
+    # Only hashes are sorted; the texts of the chosen rows are read by a filter, and stay where they are but for copies.
+    most = rows.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    rows = rows.where(F.col("h") <= F.lit(most)).dropDuplicates(["h"]).select("text", "lang")
 
     def counted(batches):
         for batch in batches:
