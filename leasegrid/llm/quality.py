@@ -1,13 +1,17 @@
 """Quality classifier: nearest-neighbour voting in a latent-semantic space.
 
-A text is a bag of token features that don't depend on its language: each word's case pattern, length, marks, repetition of a
-recent word, and (hashed) the word itself when it is in `common` texts of the sample at least. Counts are damped, weighted by inverse document frequency
-and projected on the leading singular directions of a bounded labelled sample. The labelled vectors are broadcast (at most
-`sample` rows of `rank` numbers). Every text is compared with all of them by cosine, in blocks; the `k` nearest vote with
-weight similarity ** POWER.
-
-Defined results: null and empty texts get the vote of the empty text's neighbours, or 1.0 if nothing was learned; scores are from
-0 to 1; rows may repeat; only the named columns are read. Of conflicting labels of one id the smallest holds.
+A text is a bag of two blocks of features: words themselves (hashed; those in `common` texts of the sample at least), and what
+doesn't depend on the language: each word's case pattern, length and marks, repetition of a recent word, runs of words of one
+shape. Counts are damped, weighted by inverse document frequency and projected on the leading singular directions of a bounded
+labelled sample. The labelled vectors are broadcast (at most `sample` rows of `rank` numbers). Every text is compared with
+all of them by cosine, in blocks; the `k` nearest vote with weight similarity ** POWER.
+
+Products are made in double precision and rounded before they are ranked, so a text's score doesn't depend on its block; of
+equal products the row that sorts first (by id, then by features) is nearer.
+
+Defined results: null and empty texts get the vote of the empty text's neighbours, and every text gets 1.0 if nothing was learned;
+scores are from 0 to 1; texts may hold any character, NUL too, and be of any length; rows may repeat; only the named columns are
+read, and a carried column may not have the name of a column that is made. Of conflicting labels of one id the smallest holds.
 """
 
 from __future__ import annotations
@@ -21,9 +25,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leasegrid.llm.shared import carried, slices
-
 from leasegrid.llm.language_id import flat_words
+from leasegrid.llm.shared import carried, code_points, slices
 
 SHAPES = 2048
 #: Shapes of words first, then words.
@@ -35,24 +38,21 @@ _class: list = []
 
 
 def _classes() -> np.ndarray:
-    """0 separator, 1 lower, 2 upper, 3 digit, 4 other letter; marks from 5 on by their code."""
+    """1 lower, 2 upper, 3 digit, 4 other letter; marks from 5 on by their code."""
     if not _class:
         out = np.empty(0x10000, dtype=np.int64)
         for c in range(0x10000):
             x = chr(c)
             out[c] = 1 if x.islower() else 2 if x.isupper() else 3 if x.isdigit() else 4 if x.isalpha() else 5 + c % 27
-        out[0] = 0
         _class.append(out)
     return _class[0]
 
 
 def word_features(words: pa.Array) -> np.ndarray:
     """One feature in 0..SHAPES/2 for each distinct word: case pattern x length x number and kind of marks."""
-    code = np.frombuffer(("\x00".join(words.to_pylist()) + "\x00").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    kind = np.where(code < 0x10000, _classes()[np.minimum(code, 0xFFFF)], np.where(code == 0, 0, 31))
-    end = np.flatnonzero(code == 0)
-    start = np.concatenate([[0], end[:-1] + 1])
-    upto = lambda what: np.concatenate([[0], np.cumsum(what)])
+    code, _, start, end = code_points(words)
+    kind = np.append(np.where(code < 0x10000, _classes()[np.minimum(code, 0xFFFF)], 31), 0)
+    upto = lambda what: np.concatenate([[0], np.cumsum(what[:-1])])
     counts = [c[end] - c[start] for c in map(upto, (kind == 1, kind == 2, kind == 3, kind >= 5))]
     lower, upper, digit, marks = counts
     size = end - start
@@ -96,8 +96,6 @@ def bags(texts: pa.Array, vocabulary: np.ndarray) -> np.ndarray:
         alike = np.zeros(len(code), bool)
         alike[1:] = (own[code][1:] == own[code][:-1]) & (doc[1:] == doc[:-1])
         out += np.bincount((doc * DIMS + head + 8 + own[code] % (head - 16))[alike], minlength=n * DIMS).reshape(n, DIMS)
-    lines = pc.count_substring(pc.fill_null(texts, ""), "\n").to_numpy(zero_copy_only=False)
-    out[:, SHAPES - 1] = np.diff(ends) / 50 * (lines == 0)
     return out
 
 
@@ -117,9 +115,14 @@ class QualityModel:
         """Cosine products of a block with all labelled vectors, then the vote of the k nearest (ties: earlier rows)."""
         if not len(self.labels):
             return np.ones(len(counts))
-        like = self.latent(counts) @ self.vectors.T
+        like = (self.latent(counts) @ self.vectors.T).round(9)
         k = min(self.k, like.shape[1])
-        near = np.argpartition(-like, k - 1, axis=1)[:, :k]
+        least = -np.partition(-like, k - 1, axis=1)[:, k - 1 : k]
+        use = like >= least
+        for i in np.flatnonzero(use.sum(axis=1) > k):
+            tied = np.flatnonzero(like[i] == least[i])
+            use[i, tied[k - int((like[i] > least[i]).sum()) :]] = False
+        near = np.nonzero(use)[1].reshape(-1, k)
         weight = np.maximum(np.take_along_axis(like, near, axis=1), 1e-3) ** POWER
         return (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
 
@@ -130,7 +133,7 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     total = np.maximum(counts[:, : SHAPES // 2].sum(axis=1, keepdims=True), 1)
-    return _unit(np.sqrt(counts / total) * idf)
+    return _unit(np.sqrt(counts.astype(np.float64) / total) * idf)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = 4096, rank: int = 48, k: int = 15, common: int = 8) -> QualityModel:
@@ -166,14 +169,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for i, (at, n) in enumerate(zip(got["at"], got["n"], strict=True)):
         counts[i, np.frombuffer(at, np.int32)] = np.frombuffer(n, np.float32)
     y = got["y"].to_numpy(dtype=np.float64)
-    idf = (1 + np.log((1 + len(got)) / (1 + (counts > 0).sum(axis=0)))).astype(np.float32)
+    idf = 1 + np.log((1 + len(got)) / (1 + (counts > 0).sum(axis=0)))
     x = _weighted(counts, idf)
     # Leading singular directions by subspace iteration.
     rng = np.random.default_rng(7)
-    basis = np.linalg.qr(rng.standard_normal((DIMS, rank)).astype(np.float32))[0]
+    basis = np.linalg.qr(rng.standard_normal((DIMS, rank)))[0]
     for _ in range(8 if len(x) else 0):
         basis = np.linalg.qr(x.T @ (x @ basis))[0]
-    return QualityModel(idf, basis.astype(np.float32), _unit(x @ basis).astype(np.float32), y, k, vocabulary)
+    return QualityModel(idf, basis, _unit(x @ basis), y, k, vocabulary)
 
 
 def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:

@@ -3,10 +3,12 @@
 import itertools
 import random
 import re
+import unicodedata
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -259,6 +261,92 @@ def test_quality_on_held_out_labels(spark):
     assert {r["score"] for r in quality.score(odd, quality.fit(docs, labels.limit(0))).collect()} == {1.0}
 
 
+def language_by_force(model, text):
+    """lang_pred and score of a whole text: trigrams word by word, every word's candidates by script, and a plain dynamic program."""
+    rows, letters = [], []
+    for word in (text or "").split():
+        word = word.lower()
+        is_letter = [unicodedata.category(c)[0] == "L" for c in word]
+        first = next((c for c, ok in zip(word, is_letter, strict=True) if ok), None)
+        script = next((k for k, (_, ranges) in enumerate(language_id.SCRIPTS) if first and any(a <= ord(first) <= b for a, b in ranges)), language_id.OTHER)
+        own = [0.0] * len(model.langs)
+        code = [0, *(ord(c) if ok else 0 for c, ok in zip(word, is_letter, strict=True)), 0]
+        for i, ok in enumerate(is_letter, 1):
+            if ok:
+                b = ((code[i - 1] * 1_000_003 + code[i]) * 998_244_353 + code[i + 1]) * 11_400_714_819_323_198
+                b = ((b + 2**63) % 2**64 - 2**63 >> 20) % language_id.BINS
+                own = [x + model.logp[b, k] for k, x in enumerate(own)]
+        rows.append([x if first is None or model.allowed[script, k] else -np.inf for k, x in enumerate(own)])
+        letters.append(sum(is_letter))
+    if not sum(letters):
+        return "und", 0.0
+    value, back = rows[0], []
+    for row in rows[1:]:
+        top = int(np.argmax(value))
+        back.append([k if value[k] >= value[top] - model.switch else top for k in range(len(row))])
+        value = [max(value[k], value[top] - model.switch) + x for k, x in enumerate(row)]
+    at = int(np.argmax(value))
+    path = [at]
+    for b in reversed(back):
+        at = b[at]
+        path.append(at)
+    mass = np.bincount(path[::-1], weights=letters, minlength=len(model.langs))
+    return model.langs[int(mass.argmax())], mass.max() / sum(letters)
+
+
+def test_language_id_of_whole_texts_equals_brute_force(spark):
+    docs = spark.read.parquet(f"{D}/documents.parquet")
+    model = language_id.fit(docs, sample=300)
+    some = [r["text"] for r in docs.orderBy("doc_id").limit(60).collect()]
+    rng = random.Random(2)
+    mixed = [" ".join(" ".join(rng.choice(some).split()[:12]) for _ in range(4)) for _ in range(30)]
+    odd = [None, "", "12 \t 7", "a\x00b the und\x00 \x00", "\x00", "Привет the мир", "\u3000x\u00a0y", "漢字 und the 🙂 𝒜bc", "the " * 50_000 + "und " * 20_000, *["ties ties"] * 3]
+    texts = some + mixed + odd
+    rows = [(i, t, "x", 1.5) for i, t in enumerate(texts)] + [(None, "the", None, None)]
+    frame_ = spark.createDataFrame(rows, "doc_id long, text string, lang_pred string, spans double").repartition(2)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(frame_, model).collect()}
+    for i, t, *_ in rows:
+        lang, score = language_by_force(model, t)
+        assert got[i] == (lang, pytest.approx(score)), t
+    with pytest.raises(ValueError, match="carry"):
+        language_id.identify(frame_, model, carry=("spans",))
+
+
+def test_viterbi_shuts_out_languages_of_another_script():
+    bins = np.zeros((language_id.BINS, 2))
+    allowed = np.ones((language_id.OTHER + 1, 2), bool)
+    # The first language doesn't use Cyrillic, the second not Latin; the first likes every trigram better.
+    allowed[2], allowed[0] = [False, True], [True, False]
+    bins[:, 1] = -5.0
+    model = language_id.LanguageModel(["a", "b"], bins, allowed)
+    words = pa.array(["one", "два", "три", "12", "two"])
+    scores, count = model.word_scores(words)
+    assert count.tolist() == [3, 3, 3, 0, 3]
+    assert model.paths(scores, np.array([0, 5])).tolist() in ([0, 1, 1, 1, 0], [0, 1, 1, 0, 0])
+
+
+def test_quality_equals_a_plain_vote_and_is_not_moved_by_other_texts(spark):
+    docs, labels = spark.read.parquet(f"{D}/documents.parquet"), spark.read.parquet(f"{D}/labels.parquet")
+    model = quality.fit(docs, labels, sample=400)
+    texts = [r["text"] for r in docs.orderBy("doc_id").limit(120).collect()]
+    odd = ["nul\x00in \x00 the\x00", "\x00", None, "", "  lead", "x " * 40_000, *["a tie"] * 3]
+    rows = [(i, t, 0.5, "k") for i, t in enumerate(texts + odd)] + [(None, "x", None, None), (0, texts[0], 0.5, "k")]
+    frame_ = spark.createDataFrame(rows, "doc_id long, text string, score double, _text string").repartition(3)
+    got = sorted(((r["doc_id"] if r["doc_id"] is not None else -1, r["score"]) for r in quality.score(frame_, model).collect()))
+    want = []
+    for i, t, *_ in rows:
+        # One text at a time, against one labelled vector at a time.
+        x = model.latent(quality.bags(pa.array([t], pa.string()), model.vocabulary))[0]
+        like = [round(sum(a * b for a, b in zip(x, v, strict=True)), 9) for v in model.vectors.tolist()]
+        near = sorted(range(len(like)), key=lambda j: (-like[j], j))[: model.k]
+        weight = [max(like[j], 1e-3) ** quality.POWER for j in near]
+        want.append((-1 if i is None else i, sum(w * model.labels[j] for w, j in zip(weight, near, strict=True)) / sum(weight)))
+    assert [i for i, _ in got] == [i for i, _ in sorted(want)]
+    assert [s for _, s in got] == pytest.approx([s for _, s in sorted(want)], abs=1e-6)
+    without = {r["doc_id"]: r["score"] for r in quality.score(frame_.where("doc_id < 120"), model).collect()}
+    assert without == {i: s for i, s in got if 0 <= i < 120}
+
+
 def test_quality_by_words_alone(spark):
     """Sentences of one shape that differ only in which words they hold."""
     rng = random.Random(9)
