@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leasegrid.llm import bpe, embedding_dedup, language_id, line_dedup, ngram_join, packing, permutation_ann, quality, sharding, tool_calls
-from leasegrid.llm.shared import data_file, shared_dir
+from leasegrid.llm.shared import data_file, scratch_dir
 
 #: Capacity of a packed bin in bytes, about 4,096 tokens.
 CAPACITY = 16_384
@@ -37,13 +37,14 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    store = sharding.ShardStore(spark, f"{shared_dir(spark)}/leasegrid/shards-{uuid.uuid4().hex}", target_bytes=32 << 20)
+    store = sharding.ShardStore(spark, f"{scratch_dir(spark)}/shards-{uuid.uuid4().hex}", target_bytes=32 << 20)
     store.append(docs, F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(8)))
     store.compact()
+    store.vacuum()
     out = store.read()
     if out is None:
-        out = docs.select("*", *[F.lit(0).alias(c) for c in ("run", "tier", "shard")]).limit(0)
-    return out.select("doc_id", "run", "tier", "shard", F.octet_length("text").alias("n_bytes"), F.sha2(F.col("text"), 256).alias("text_sha256"))
+        out = docs.limit(0).select(F.struct("*").alias("row"), *[F.lit(0).alias(c) for c in ("run", "tier", "shard")])
+    return out.select("row.doc_id", "run", "tier", "shard", F.octet_length("row.text").alias("n_bytes"), F.sha2(F.col("row.text"), 256).alias("text_sha256"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

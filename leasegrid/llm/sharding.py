@@ -1,12 +1,14 @@
 """Size-tiered compaction of immutable shards under a versioned manifest. DataFrame operations only.
 
-Arrivals are appended as they come, one small run each, without a shuffle. A run's tier is the logarithm of its size to the base
-`fan`. Once a tier has `fan` runs, they are merged into one run of target-sized files. Each change is a new manifest version,
-written aside and put in place by one atomic rename that fails if the version exists; readers of older versions are not
-disturbed, and a writer that dies leaves only files that no manifest names.
-
-Defined results: every row of every arrival is in exactly one live shard; null arrivals are one arrival; an empty table makes no
-run; rows may repeat; columns may have any name but `__arrival`.
+Arrivals are appended as they come, one small run each, without a shuffle; one append is one version, however many runs it makes.
+A run's tier is the logarithm of its size to the base `fan`. Once a tier has `fan` runs, they are merged into one run of
+target-sized files. Each change is a new manifest version, written aside and put in place by one rename that fails if the version
+exists; readers of older versions are not disturbed, and a writer that dies or comes second leaves only files that no manifest
+names. That rename is atomic on HDFS and local disks; object stores that copy instead need a committer of their own.
+
+Defined results: every row of every arrival is in exactly one live shard; null arrivals are one arrival, which is not that of the
+text "null"; an empty table makes no run; rows may repeat; texts may be empty or of any length; columns may have any name, as
+what `read` says about a row stands beside it in columns of its own, the row being a struct.
 """
 
 from __future__ import annotations
@@ -58,16 +60,24 @@ class ShardStore:
         if not have:
             return []
         version = have[-1] if version is None else version
-        lines = self.spark.read.text(f"{self.root}/manifest/v{version:08d}").where("value <> ''").collect()
-        return sorted((Run(**json.loads(x["value"])) for x in lines), key=lambda r: r.number)
+        jvm, fs = self._fs()
+        file = fs.open(jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest/v{version:08d}"))
+        try:
+            lines = bytes(file.readAllBytes()).decode().splitlines()
+        finally:
+            file.close()
+        return sorted((Run(**json.loads(x)) for x in lines), key=lambda r: r.number)
 
     def commit(self, runs: list[Run], version: int) -> None:
         """Puts a version in place; raises if another writer was first."""
         aside = f"{self.root}/manifest/.aside-{uuid.uuid4().hex}"
-        lines = [(json.dumps(asdict(r), sort_keys=True),) for r in runs] or [("",)]
-        self.spark.createDataFrame(lines, "value string").coalesce(1).write.text(aside)
-        jvm, _ = self._fs()
+        jvm, fs = self._fs()
         at = jvm.org.apache.hadoop.fs.Path
+        file = fs.create(at(aside))
+        try:
+            file.write(bytearray("".join(json.dumps(asdict(r), sort_keys=True) + "\n" for r in runs), "utf-8"))
+        finally:
+            file.close()
         files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(at(self.root).toUri(), self.spark._jsc.hadoopConfiguration())
         rename = jvm.org.apache.hadoop.fs.Options.Rename
         how = self.spark.sparkContext._gateway.new_array(rename, 1)
@@ -78,16 +88,22 @@ class ShardStore:
         return max(0, math.floor(math.log(max(size, 1) / self.base, self.fan) + 1e-12)) if size > self.base else 0
 
     def append(self, df: DataFrame, arrival: Column | None = None) -> None:
-        """Appends df as one run, or one for each value of `arrival`, in one pass over it; one manifest version a run."""
+        """Appends df as one run, or one for each value of `arrival`, in one pass over it and as one version."""
         place = f"{self.root}/data/{uuid.uuid4().hex}"
-        key = F.lit("0") if arrival is None else F.coalesce(arrival.cast("string"), F.lit("null"))
-        df.withColumn("__arrival", key).write.partitionBy("__arrival").parquet(place)
+        key = F.lit("all") if arrival is None else F.coalesce(F.sha2(arrival.cast("string"), 256), F.lit("null"))
+        name = "arrival"
+        while name.lower() in (c.lower() for c in df.columns):
+            name += "_"
+        df.withColumn(name, key).write.partitionBy(name).parquet(place)
         jvm, fs = self._fs()
-        for found in sorted(s.getPath().toString() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(place)) if s.isDirectory()):
-            live, have = self.runs(), self.versions()
-            size = self._bytes(found)
-            number = max((r.number for r in live), default=-1) + 1
-            self.commit([*live, Run(number, self.tier(size), size, found)], (have[-1] if have else 0) + 1)
+        found = sorted(s.getPath().toString() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(place)) if s.isDirectory())
+        if not found:
+            return
+        live, have = self.runs(), self.versions()
+        first = max((r.number for r in live), default=-1) + 1
+        sizes = [self._bytes(path) for path in found]
+        made = [Run(first + i, self.tier(size), size, path) for i, (size, path) in enumerate(zip(sizes, found, strict=True))]
+        self.commit([*live, *made], (have[-1] if have else 0) + 1)
 
     def compact(self) -> int:
         """Merges while a tier has `fan` runs; returns the number of merges."""
@@ -110,9 +126,9 @@ class ShardStore:
             merges += 1
 
     def read(self, version: int | None = None) -> DataFrame | None:
-        """The rows of a version with run, tier and shard (number of the file in its run); None if there are no runs."""
+        """(row, run, tier, shard) of each row of a version; shard is the number of the file in its run. None if there are no runs."""
         parts = [
-            self.spark.read.parquet(r.path).select("*", F.lit(r.number).alias("run"), F.lit(r.tier).alias("tier"), F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("shard"))
+            self.spark.read.parquet(r.path).select(F.struct("*").alias("row"), F.lit(r.number).alias("run"), F.lit(r.tier).alias("tier"), F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("shard"))
             for r in self.runs(version)
         ]
         out = None
