@@ -118,32 +118,45 @@ def test_bitmaps_are_compressed_and_small(spark, odd):
     assert np.unpackbits(np.frombuffer(zlib.decompress(got["keep_bitmap"]), np.uint8), count=3).tolist() == [1, 0, 1]
 
 
-def test_packing_keeps_everything_and_every_rule(spark, odd):
+@pytest.mark.parametrize("copies", [4096, 2])
+def test_packing_keeps_everything_and_every_rule(spark, odd, copies, monkeypatch):
+    monkeypatch.setattr(packing, "COPIES", copies)
     capacity, slots = 500, 2
-    got = packing.pack(frame(spark, odd), capacity, slots=slots, shard_rows=64).collect()
+    rows = odd + [(700, "é漢🙂" * 400, "a"), (701, "x" * 500, "a"), (702, "x" * 1000, "b"), (703, "é" * 500, None), (704, "é" * 500, None)]
+    got = packing.pack(frame(spark, rows), capacity, slots=slots, shard_rows=64).collect()
+    texts = {i: (t or "").encode() for i, t, _ in rows if i is not None}
     size = defaultdict(int)
     for r in got:
         size[r["doc_id"]] += r["size"]
-        assert 0 <= r["size"] <= capacity and r["at"] + r["size"] <= capacity
+        if r["doc_id"] in texts:
+            piece = texts[r["doc_id"]][r["start"] : r["start"] + r["size"]]
+            assert len(piece) == r["size"] and piece.decode() is not None
+            assert (r["bin"] is None) == (r["at"] is None) == (not texts[r["doc_id"]])
+        assert r["bin"] is None or 0 < r["size"] <= r["at"] + r["size"] <= capacity
+        assert r["bin"] is None or r["bin"] >= 0 or r["size"] > capacity - 4
     want = defaultdict(int)
-    for i, t, _ in odd:
+    for i, t, _ in rows:
         want[i] += len((t or "").encode())
     assert size == want
-    source, text = {i: s for i, _, s in odd}, {i: (t or "").strip(" ").lower() for i, t, _ in odd}
+    assert sorted(r["size"] for r in got if r["doc_id"] == 702) == [500, 500] and [r["size"] for r in got if r["doc_id"] == 701] == [500]
+    source, text = {i: s for i, _, s in rows}, {i: (t or "").strip(" ").lower() for i, t, _ in rows}
     bins = defaultdict(list)
     for r in got:
-        if r["bin"] >= 0:
+        if (r["bin"] or 0) >= 0 and r["bin"] is not None:
             bins[r["shard"], r["bin"]].append(r)
-    for rows in bins.values():
-        spans = sorted((r["at"], r["at"] + r["size"]) for r in rows)
+    for held in bins.values():
+        spans = sorted((r["at"], r["at"] + r["size"]) for r in held)
         assert all(a[1] <= b[0] for a, b in itertools.pairwise(spans))
-        ids = [r["doc_id"] for r in rows if r["doc_id"] is not None]
+        ids = [r["doc_id"] for r in held if r["doc_id"] is not None]
         assert len({text[i] for i in ids}) == len(ids)
         by = defaultdict(int)
         for i in ids:
             by[source[i]] += 1
         assert max(by.values(), default=0) <= slots
-    assert packing.pack(frame(spark, odd).limit(0), capacity).count() == 0
+    # Another layout of the same rows gives the same bins.
+    again = packing.pack(frame(spark, rows[::-1], 7), capacity, slots=slots, shard_rows=64).collect()
+    assert sorted(map(tuple, again), key=repr) == sorted(map(tuple, got), key=repr)
+    assert packing.pack(frame(spark, rows).limit(0), capacity).count() == 0
 
 
 def test_best_fit_equals_a_plain_search():
