@@ -134,11 +134,6 @@ def code_points(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return code, np.repeat(np.arange(len(size)), size), end - size, end
 
 
-def spread(df: DataFrame, *salt: str) -> DataFrame:
-    """df with a long column `_deal` that spreads rows evenly, repeated rows included."""
-    return df.withColumn("_deal", F.xxhash64(*[F.col(c) for c in salt], F.monotonically_increasing_id()))
-
-
 def data_file(name: str) -> str:
     """Where an installed tokenizer file lies; the package is a parameter of the environment, not of this library."""
     import public_tokenizers

@@ -232,6 +232,46 @@ def test_tool_calls_link_order_and_validation(spark):
     assert tool_calls.link(frames[0].limit(0), frames[1].limit(0), SCHEMAS).count() == 0
 
 
+def depths_by_force(calls):
+    """Longest path of parents that exist; None on or behind a cycle."""
+    up = {}
+    for i, parents in calls:
+        if i is not None:
+            up.setdefault(i, set()).update(p for p in parents or [] if p is not None)
+    up = {i: {p for p in ps if p in up} for i, ps in up.items()}
+    depth = {}
+    while True:
+        now = {i: 1 + max((depth[p] for p in ps), default=-1) for i, ps in up.items() if i not in depth and all(p in depth for p in ps)}
+        if not now:
+            return {i: depth.get(i) for i in up}
+        depth |= now
+
+
+def test_depths_of_calls_with_several_parents(spark):
+    rng = random.Random(5)
+    calls = [(f"{g}-{i}", [f"{g}-{rng.randrange(i)}" for _ in range(rng.choice([1, 1, 1, 1, 2, 3]))] if i else None) for g in range(4) for i in range(40)]
+    calls += [("a", ["b"]), ("b", ["a"]), ("c", ["b", "0-0"]), ("d", ["c"]), ("e", ["nowhere", "0-3", None, "0-3"]), ("self", ["self"]), (None, ["0-0"]), ("0-5", ["0-39"]), ("twice", []), ("twice", ["1-7"])]
+    calls += [(f"hub{i}", ["2-39"]) for i in range(50)]
+    frame_ = spark.createDataFrame([(1, i, p, "sum", "{}", 9) for i, p in calls], "conv_id long, call_id string, parent_ids array<string>, tool string, arguments string, depth long")
+    none = spark.createDataFrame([], "conv_id long, call_id string, seq long, content string")
+    got = tool_calls.link(frame_, none, SCHEMAS).collect()
+    want = depths_by_force(calls)
+    assert len(got) == len(calls) and all(r["depth"] == want[r["call_id"]] for r in got if r["call_id"] is not None)
+    assert sum(d is None for d in want.values()) > 4
+    assert {r["call_id"] for r in got if "parent missing" in r["errors"]} == {"e"}
+    assert json.loads(next(r["json"] for r in got if r["call_id"] == "c"))["parents"] == ["b", "0-0"]
+
+
+def test_tool_calls_of_repeated_rows_and_odd_texts(spark):
+    long = "word " * 100_000
+    calls = spark.createDataFrame([(1, "r", None, "sum", "", "x")] * 3 + [(1, "q", "r", "sum", json.dumps({"a": 1, "b": 2, "note": long}), "x")], "conv_id long, call_id string, parent_id string, tool string, arguments string, status string")
+    results = spark.createDataFrame([(1, "r", 1, "", 7)] * 2 + [(1, "q", 1, long, 7)], "conv_id long, call_id string, seq long, content string, n_results int")
+    got = tool_calls.link(calls, results, SCHEMAS).collect()
+    assert sorted((r["call_id"], r["status"], r["n_results"], r["depth"]) for r in got) == [("q", "linked", 1, 1), *[("r", "linked", 2, 0)] * 3]
+    assert json.loads(next(r["json"] for r in got if r["call_id"] == "q"))["result"] == long
+    assert {json.loads(r["json"])["result"] for r in got if r["call_id"] == "r"} == {""}
+
+
 def test_tool_calls_keep_every_result(spark):
     """Results without an id are an orphan each, and further results of an id are rows of their own."""
     calls = [(1, "r", None, "sum", '{"b": 2.5, "a": 1}')]
