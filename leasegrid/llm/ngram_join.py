@@ -4,11 +4,13 @@
 2. n-grams in a large share of all documents (counted over all of them) are put last in the order that picks each set's prefix,
    so passages that many documents share rarely become keys. Any one order is exact: sets of the wanted similarity share a key
    of their prefixes.
-3. Keys are dealt to buckets in packed blocks; keys held by one set are dropped there.
+3. Keys are dealt to buckets in packed blocks; keys held by one set are dropped there. The postings of a frequent n-gram are dealt by
+   set, so no task holds all of one.
 4. First links: each set against the sets that its keys suggest most. Only keys whose sets are still in different components
    go on (closest pairs first, then every pair), as size-banded tiles: sets of a key are split by size band and into bounded blocks, and compared by their bitmaps.
    A parity bitmap with as many bits as the set has n-grams bounds the overlap from above by its bit count.
-5. Pairs that pass are settled by exact intersection of the sorted arrays, one set against its partners at a time.
+5. Pairs that pass are settled by exact intersection of the sorted arrays, one set against its partners at a time. A set's array
+   is made again from its text once, however many rounds it takes part in.
 
 No pair is dropped or capped. Pairs inside one component need no look: what is returned is every row's component.
 Hash collisions aside (64 bits), results are exact.
@@ -27,9 +29,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leasegrid.llm.shared import connected, slices, written
+from leasegrid.llm.shared import connected, discard, join_hot, slices, written
 
 HEAVY_CHUNK = 4_000_000
+#: Most n-grams that count as frequent; the most frequent ones.
+HEAVY = 1 << 20
 BLOCK = 512
 #: Partners that a set is first tried with.
 FIRST = 3
@@ -63,10 +67,10 @@ def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
             s = np.sort(total[i : j - n + 1])
             out.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
         elif j > i:
-            few = np.uint64(0)
-            for x in h[i:j]:
-                few = few * M + x
-            out.append(mixed(np.array([few + np.uint64(j - i)], dtype=np.uint64)))
+            few = np.zeros(1, np.uint64)
+            for k in range(i, j):
+                few = few * M + h[k : k + 1]
+            out.append(mixed(few + np.uint64(j - i)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -98,7 +102,8 @@ def heavy_shingles(docs: DataFrame, n: int, share: int) -> np.ndarray:
     """Sorted n-grams that at least one in `share` documents holds, counted over all documents by runs of up to HEAVY_CHUNK.
 
     A run reports what it holds in at least one in 2 * share of its documents. At most share * (mean set size) n-grams
-    can be that frequent, however many documents there are; that bounds what is broadcast.
+    can be that frequent, however many documents there are, and of those the HEAVY most frequent are taken; that bounds what is
+    broadcast. All others are held by at most one in share documents, or by (mean set size) / HEAVY of them.
     """
 
     def counted(batches):
@@ -122,25 +127,26 @@ def heavy_shingles(docs: DataFrame, n: int, share: int) -> np.ndarray:
 
     texts = docs.where("doc is not null")
     least = max(8, texts.count() // share)
-    keys = texts.select("text").mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
+    keys = texts.select("text").mapInArrow(counted, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n"), "key").limit(HEAVY).select("key")
     return np.sort(keys.toPandas()["key"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
+def _among(heavy: np.ndarray, s: np.ndarray) -> np.ndarray:
+    if not len(heavy):
+        return np.zeros(len(s), bool)
+    return heavy[np.minimum(np.searchsorted(heavy, s), len(heavy) - 1)] == s
+
+
 def _prefix(s: np.ndarray, heavy: np.ndarray, percent: int) -> np.ndarray:
     p = len(s) + (-percent * len(s) // 100) + 1
-    if len(heavy):
-        spot = np.searchsorted(heavy, s[:p])
-        spot[spot == len(heavy)] = 0
-        if (heavy[spot] == s[:p]).any():
-            spot = np.searchsorted(heavy, s)
-            spot[spot == len(heavy)] = 0
-            often = heavy[spot] == s
-            s = np.concatenate([s[~often], s[often]])
+    if _among(heavy, s[:p]).any():
+        often = _among(heavy, s)
+        s = np.concatenate([s[~often], s[often]])
     return s[:p]
 
 
 def _dealt(docs: DataFrame, n: int, percent: int, heavy, buckets: int) -> DataFrame:
-    """kind 0: a document's row; kind 1: a block of (key, set) postings of one bucket."""
+    """kind 0: a document's row; kind 1: a block of (key, set) postings of one bucket, dealt by key; kind 2: by key and set."""
 
     def deal(batches):
         from array import array
@@ -152,13 +158,14 @@ def _dealt(docs: DataFrame, n: int, percent: int, heavy, buckets: int) -> DataFr
         def blocks():
             k = np.concatenate(keys)
             ids = np.repeat(np.frombuffer(sets, dtype=np.int64), counts)
-            where = (k >> np.uint64(40)).astype(np.int64) % buckets
+            often = _among(have, k)
+            where = (np.where(often, mixed(k ^ ids.view(np.uint64)), k) >> np.uint64(40)).astype(np.int64) % buckets * 2 + often
             order = np.argsort(where, kind="stable")
-            cut = np.searchsorted(where[order], np.arange(buckets + 1))
+            cut = np.searchsorted(where[order], np.arange(2 * buckets + 1))
             k, ids = k[order], ids[order]
-            for b in range(buckets):
+            for b in range(2 * buckets):
                 if cut[b] < cut[b + 1]:
-                    yield (1, b, None, None, None, None, None, k[cut[b] : cut[b + 1]].tobytes() + ids[cut[b] : cut[b + 1]].tobytes())
+                    yield (1 + b % 2, b // 2, None, None, None, None, None, k[cut[b] : cut[b + 1]].tobytes() + ids[cut[b] : cut[b + 1]].tobytes())
 
         for batch in batches:
             for part in slices(batch, 1):
@@ -197,24 +204,29 @@ def _rows(rows):
 
 def _gathered(batches):
     """One partition of whole buckets: passes documents' rows on and gives the postings of keys that two sets or more hold."""
-    keys, sets = [], []
+    keys, sets = {1: [], 2: []}, {1: [], 2: []}
     for batch in batches:
         docs = batch.filter(pc.equal(batch.column(0), 0))
         if docs.num_rows:
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(docs.num_rows, np.int64)), *(docs.column(c) for c in (2, 3, 4, 5, 6))], names=["key", "doc", "n", "set", "low", "bits"])
-        for block in batch.filter(pc.equal(batch.column(0), 1)).column(7).to_pylist():
-            both = np.frombuffer(block, dtype=np.uint64).reshape(2, -1)
-            keys.append(both[0])
-            sets.append(both[1].view(np.int64))
-    if keys:
-        k, s = np.concatenate(keys), np.concatenate(sets)
+        for kind in (1, 2):
+            for block in batch.filter(pc.equal(batch.column(0), kind)).column(7).to_pylist():
+                both = np.frombuffer(block, dtype=np.uint64).reshape(2, -1)
+                keys[kind].append(both[0])
+                sets[kind].append(both[1].view(np.int64))
+    for kind in (1, 2):
+        if not keys[kind]:
+            continue
+        k, s = np.concatenate(keys.pop(kind)), np.concatenate(sets.pop(kind))
         order = np.lexsort((s, k))
         k, s = k[order], s[order]
         new = np.concatenate([[True], (k[1:] != k[:-1]) | (s[1:] != s[:-1])])
         k, s = k[new], s[new]
-        same = k[1:] == k[:-1]
-        use = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        k, s = k[use].view(np.int64), s[use]
+        if kind == 1:
+            same = k[1:] == k[:-1]
+            use = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            k, s = k[use], s[use]
+        k = k.view(np.int64)
         for at in range(0, len(k), 100_000):
             none = pa.nulls(len(k[at : at + 100_000]), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(k[at : at + 100_000]), none, none, pa.array(s[at : at + 100_000]), none, pa.nulls(len(none), pa.binary())], names=["key", "doc", "n", "set", "low", "bits"])
@@ -325,10 +337,13 @@ def _exact(percent: int):
     return linked
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """Of the distinct pairs (a, b), those that link. Only sets that take part are made again from their texts."""
+def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, percent: int, have: list[DataFrame]) -> DataFrame:
+    """Of the distinct pairs (a, b), those that link. Sets that take part and aren't in `have` are made from their texts and added."""
     chunks = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(64)).cast("int").alias("chunk"))
-    need = chunks.select(F.col("a").alias("set")).union(chunks.select("b")).distinct().join(reps.select("set", "doc", "low"), "set")
+    need = chunks.select(F.col("a").alias("set")).union(chunks.select("b")).distinct()
+    for table in have:
+        need = need.join(table.select("set"), "set", "left_anti")
+    need = need.join(reps.select("set", "doc", "low"), "set")
     texts = docs.join(need.hint("shuffle_hash"), "doc").select("set", "low", "text")
 
     def made(batches):
@@ -339,7 +354,10 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, percen
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(blocks, pa.binary())], names=["set", "block"]).filter(pa.array(own))
 
     # Of rows with one doc_id, more than one may give the set; a second copy changes nothing.
-    sets = written(texts.mapInArrow(made, "set long, block binary"), "sets")
+    have.append(written(texts.mapInArrow(made, "set long, block binary"), "sets"))
+    sets = have[0]
+    for table in have[1:]:
+        sets = sets.unionByName(table)
     lead = chunks.select(F.col("a").alias("set"), "chunk").distinct().join(sets, "set").select(F.col("set").alias("a"), F.lit(None).cast("long").alias("b"), "chunk", "block")
     other = chunks.withColumnRenamed("b", "set").join(sets, "set").select("a", F.col("set").alias("b"), "chunk", "block")
     dealt = lead.unionByName(other).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
@@ -349,9 +367,9 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, n: int, percen
 def _open_pairs(posts: DataFrame, reps: DataFrame, near: DataFrame, percent: int, nearest: int | None) -> DataFrame:
     """Distinct pairs of sets in different components that share a key and may link by their bit counts."""
     left = written(posts.join(near.withColumnRenamed("node", "set"), "set", "left").select("key", "set", "n", F.coalesce("component", "set").alias("comp")), "left")
-    open_ = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi").select("key", "size")
+    open_ = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).where("lo <> hi").select("key", "size", F.col("size").alias("rows"))
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
-    tiles = left.join(open_, "key").select("key", "set", "n", "comp", band.alias("band"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    tiles = join_hot(left, open_, "key", "rows", left.count()).select("key", "set", "n", "comp", band.alias("band"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     tiles = tiles.join(reps.select("set", "bits"), "set").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
     # Keys of one block are one tile. Else a set is on the left of its own band and on the right of its own and the one
     # below, and blocks of a key meet in every pair.
@@ -362,7 +380,10 @@ def _open_pairs(posts: DataFrame, reps: DataFrame, near: DataFrame, percent: int
     rights = tiles.select(*head, F.lit(1).alias("side"), F.explode(F.array("band", F.col("band") - 1)).alias("band"), "block", "other")
     rights = rights.select(*head, "side", "band", F.explode("other").alias("x"), F.col("block").alias("y"))
     by = ["key", "band", "x", "y"]
-    return lone.unionByName(lefts).unionByName(rights).repartition(*by).sortWithinPartitions(*by).mapInArrow(_tiled(percent, nearest), "a long, b long").distinct()
+    out = lone.unionByName(lefts).unionByName(rights).repartition(*by).sortWithinPartitions(*by).mapInArrow(_tiled(percent, nearest), "a long, b long").distinct()
+    out = written(out, "pairs")
+    discard(left)
+    return out
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, percent: int = 80, share: int = 2000, buckets: int | None = None) -> DataFrame:
@@ -376,34 +397,43 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     heavy = spark.sparkContext.broadcast(heavy_shingles(docs, n, share))
     dealt = _dealt(docs, n, percent, heavy, buckets).repartition(parts, "bucket")
     found = written(dealt.mapInArrow(_gathered, "key long, doc long, n long, set long, low long, bits binary"), "ngram-postings")
-    rows = found.where("key = 0 and n is not null").select("doc", "n", "set", "low", "bits")
-    posts = found.where("n is null").select("key", "set")
-    reps = rows.where("doc is not null and set is not null").groupBy("set").agg(F.min(F.struct("doc", "low", "n", "bits")).alias("r")).select("set", "r.doc", "r.low", "r.n", "r.bits")
+    every = found.where("key = 0 and n is not null")
+    rows = written(every.select("doc", "n", "set"), "ngram-rows")
+    reps = every.where("doc is not null and set is not null").groupBy("set").agg(F.min(F.struct("doc", "low", "n", "bits")).alias("r")).select("set", "r.doc", "r.low", "r.n", "r.bits")
     reps = written(reps, "ngram-sets")
-    posts = posts.join(reps.select("set", "n"), "set")
+    posts = found.where("n is null").select("key", "set").join(reps.select("set", "n"), "set")
 
     # First links: of each key, the set with most shared keys (the likely origin of copies) against the others; a set
     # is tried with the FIRST such partners that it shares most keys with.
     posts = written(posts.join(posts.groupBy("set").agg(F.count(F.lit(1)).alias("shared")), "set"), "shared")
-    lead = posts.groupBy("key").agg(F.max(F.struct("shared", "set")).alias("r")).select("key", F.col("r.set").alias("a"))
-    pairs = posts.join(lead, "key").where("set <> a").groupBy("a", F.col("set").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("nb"))
+    discard(found)
+    lead = posts.groupBy("key").agg(F.max(F.struct("shared", "set")).alias("r"), F.count(F.lit(1)).alias("rows")).select("key", F.col("r.set").alias("a"), "rows")
+    pairs = join_hot(posts, lead, "key", "rows", posts.count()).where("set <> a").groupBy("a", F.col("set").alias("b")).agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("nb"))
     best = Window.partitionBy("b").orderBy(F.desc("c"), "a")
     pairs = pairs.withColumn("r", F.row_number().over(best)).where(F.col("r") <= FIRST).select("a", "b", "nb")
     a, b = reps.select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba")), reps.select(F.col("set").alias("b"), F.col("bits").alias("bb"))
     pairs = pairs.join(a, "a").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).join(b, "b").select("a", "b", "na", "nb", "ba", "bb")
-    links = _verified(written(pairs.mapInArrow(_bounded(percent), "a long, b long"), "pairs"), reps, docs, n, percent)
+    pairs, sets = written(pairs.mapInArrow(_bounded(percent), "a long, b long"), "pairs"), []
+    links = _verified(pairs, reps, docs, n, percent, sets)
+    discard(pairs)
 
     # What is left: keys whose sets lie in different components; each set's closest partners first, then every pair.
     for nearest in (FIRST, None):
         near = written(connected(links), "near")
-        more = written(_open_pairs(posts, reps, near, percent, nearest), "pairs")
+        more = _open_pairs(posts, reps, near, percent, nearest)
+        discard(near)
         if not more.limit(1).count():
             break
-        links = written(links.union(_verified(more, reps, docs, n, percent)), "links")
+        found = _verified(more, reps, docs, n, percent, sets)
+        before, links = links, written(links.union(found), "links")
+        discard(more, found, before)
+    discard(posts, *sets)
 
     # Rows that share a set or a doc_id are one; the smallest document of each set stands for it.
-    own = rows.where("doc is not null and set is not null").join(reps.select("set", F.col("doc").alias("rep")), "set").select("doc", "n", "rep")
-    rep = reps.select("set", F.col("doc").alias("rep"))
+    rep = written(reps.select("set", F.col("doc").alias("rep")), "reps")
+    discard(reps)
+    own = rows.where("doc is not null and set is not null").join(rep, "set").select("doc", "n", "rep")
     ends = links.join(rep.select(F.col("set").alias("a"), F.col("rep").alias("ra")), "a").join(rep.select(F.col("set").alias("b"), F.col("rep").alias("rb")), "b").select("ra", "rb")
     groups = connected(ends.union(own.select("rep", "doc")), "ra", "rb").select(F.col("node").alias("doc"), "component")
+    discard(rep, links)
     return rows.join(groups, "doc", "left").select(F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
