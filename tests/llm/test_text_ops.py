@@ -392,3 +392,28 @@ def test_pipeline_stages_against_brute_force(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     clean = [i for i in lid if labels.get(i) == 1]
     assert sum(i in good for i in clean) >= 0.98 * len(clean)
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
+    pipeline = pytest.importorskip("corpus_pipeline")
+    d = "/root/testdata/sf0.001"
+    some = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select(*pipeline.COLUMNS).orderBy("doc_id").limit(80).collect()]
+    base = some[0][1]
+    rows = some + some[:3] + [(None, base, None, None, None), (900, None, "en", "a", None), (901, "", "en", None, 0), (902, "12 \x00 34", None, "a", 7), (903, base + "\x00", "en", "a", 9), (904, "word " * 60_000, "en", "a", 1), (905, "漢字 und the 🙂", None, "", 2)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, lang_pred int, bin string, run int, component_id string, _text string"
+    spark.createDataFrame([(*r, "s", 1, "b", 2, "c", "t") for r in rows], schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{d}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, str(tmp_path)).collect(), docs.select(*pipeline.COLUMNS).schema)
+        assert docs.columns == pipeline.COLUMNS
+    kept = docs.collect()
+    assert not {r["doc_id"] for r in kept} & {900, 901, 902} and all(r["text"] is not None for r in kept)
+    got = pipeline.run(spark, str(tmp_path)).groupBy("doc_id").agg(F.sum("size").alias("n")).collect()
+    want = defaultdict(int)
+    for r in kept:
+        want[r["doc_id"]] += len(r["text"].encode())
+    assert {r["doc_id"]: r["n"] for r in got} == want
+    spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    spark.read.parquet(f"{d}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/none/labels.parquet")
+    assert pipeline.run(spark, f"{tmp_path}/none").count() == 0
