@@ -2,6 +2,11 @@
 
 Counted as part of the subpackage leasegrid.llm. Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of documents.
+
+Defined results: null texts and texts without letters have no language and go; a null lang, source or label takes no part in
+learning; a document without doc_id is judged by its text, is in no group of near copies and stays; rows that repeat a doc_id are judged one by one,
+but go together where their id is not the smallest of its group; long texts are read whole; columns other than those of documents
+are dropped, whatever their names; an empty table gives no rows, and without labels every document counts as good.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from pyspark.sql import functions as F
 
 from leasegrid.llm import language_id, line_dedup, ngram_join, packing, quality
 from leasegrid.llm.queries import CAPACITY, QUALITY_LEAST
-from leasegrid.llm.shared import written
+from leasegrid.llm.shared import discard, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document goes if its language can't be told, or if less than this share of its letters is in one language.
@@ -58,5 +63,6 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, docs = docs, written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
