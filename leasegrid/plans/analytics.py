@@ -82,29 +82,16 @@ def classes(spark, d):
     return events(spark, d).groupBy(c.alias("class")).agg(n_rows().alias("n"))
 
 
-@query("q_a20_signatures", """WITH s AS (SELECT left(props, 12) AS signature, event_id FROM events WHERE event_type = 'error'), r AS (SELECT *, row_number() OVER (PARTITION BY signature ORDER BY event_id) AS rn FROM s)
+@query("q_a20_signatures", """WITH s AS (SELECT left(props, 80) AS signature, event_id FROM events WHERE event_type = 'error'), r AS (SELECT *, row_number() OVER (PARTITION BY signature ORDER BY event_id) AS rn FROM s)
 SELECT signature, count(*) AS n, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) FILTER (rn <= 5) AS sample FROM r GROUP BY signature""")
 def signatures(spark, d):
     """Failure signatures with their first five ids; ids are ranked before they are gathered, so lists stay short."""
-    s = events(spark, d).where("event_type = 'error'").select(F.substring("props", 1, 12).alias("signature"), "event_id")
+    s = events(spark, d).where("event_type = 'error'").select(F.substring("props", 1, 80).alias("signature"), "event_id")
     n = s.groupBy("signature").agg(n_rows().alias("n"))
     first = s.withColumn("rn", F.row_number().over(Window.partitionBy("signature").orderBy("event_id"))).where("rn <= 5").groupBy("signature").agg(F.sort_array(F.collect_list("event_id")).alias("ids"))
     return n.join(first, "signature").select("signature", "n", F.array_join(F.col("ids").cast("array<string>"), ",").alias("sample"))
 
 
-_RANK = "row_number() OVER (PARTITION BY event_type ORDER BY value) AS rn, count(*) OVER (PARTITION BY event_type) AS n"
-
-
-@query("q_a22_percentile", f"WITH r AS (SELECT event_type, value, {_RANK} FROM events WHERE value IS NOT NULL) SELECT event_type, max(value) FILTER (rn = floor(n * 0.5) + 1) AS p50, max(value) FILTER (rn = floor(n * 0.95) + 1) AS p95 FROM r GROUP BY 1")
-def percentile_index(spark, d):
-    return events(spark, d).groupBy("event_type").agg(v.index_percentile(F.col("value"), 0.5).alias("p50"), v.index_percentile(F.col("value"), 0.95).alias("p95"))
-
-
-@query("q_a23_percentile", f"WITH r AS (SELECT event_type, value, {_RANK} FROM events WHERE value IS NOT NULL) SELECT event_type, max(value) FILTER (rn = round_even(0.95 * (n - 1), 0) + 1) AS p95 FROM r GROUP BY 1")
-def percentile_nearest(spark, d):
-    return events(spark, d).groupBy("event_type").agg(v.nearest_percentile(F.col("value"), 95).alias("p95"))
-
-
 @query("q_a24_trailing", "WITH m AS (SELECT max(ts) AS now FROM events) SELECT user_id % 50 AS domain, count(*) FILTER (ts > now - INTERVAL 1 DAY) AS n_24h, count(*) AS n_7d, round(count(*) FILTER (event_type = 'error') / count(*), 6) AS failure_rate FROM events, m WHERE ts > now - INTERVAL 7 DAY GROUP BY 1 HAVING count(*) FILTER (event_type = 'error') / count(*) > 0.05")
 def trailing(spark, d):
     """The newest timestamp is one row, joined as such."""

@@ -148,12 +148,12 @@ def lease_term(spark, d):
     return table(spark, d, "part").select("p_partkey", v.lease_term(F.col("p_size").cast("string")).alias("term"))
 
 
-@query("q_f29_llm_cost", "SELECT e.event_id, round((e.event_id % 1000 * p.i + e.user_id % 500 * p.o) / 1e6, 8) AS cost FROM events e LEFT JOIN (VALUES ('click', 0.15, 0.6), ('error', 2.5, 10.0)) p(m, i, o) ON e.event_type = p.m WHERE p.m IS NOT NULL")
+@query("q_f29_llm_cost", "SELECT e.event_id, round((e.event_id % 1000 * coalesce(p.i, 0.15) + e.user_id % 500 * coalesce(p.o, 0.6)) / 1e6, 8) AS cost FROM events e LEFT JOIN (VALUES ('click', 0.15, 0.6), ('error', 2.5, 10.0)) p(m, i, o) ON e.event_type = p.m")
 def llm_cost(spark, d):
-    """Prices are data: a small table of known size, broadcast."""
+    """Prices are data: a small table of known size, broadcast. Models without a price have the default one."""
     prices = spark.createDataFrame([("click", 0.15, 0.6), ("error", 2.5, 10.0)], "event_type string, i double, o double")
-    e = table(spark, d, "events").join(F.broadcast(prices), "event_type")
-    return e.select("event_id", F.round((F.col("event_id") % 1000 * F.col("i") + F.col("user_id") % 500 * F.col("o")) / 1e6, 8).alias("cost"))
+    e = table(spark, d, "events").join(F.broadcast(prices), "event_type", "left")
+    return e.select("event_id", F.round((F.col("event_id") % 1000 * F.coalesce("i", F.lit(0.15)) + F.col("user_id") % 500 * F.coalesce("o", F.lit(0.6))) / 1e6, 8).alias("cost"))
 
 
 @query("q_f30_backoff", "SELECT event_id, 1000 * pow(2, event_id % 5)::BIGINT AS delay_ms FROM events")

@@ -161,12 +161,3 @@ def cascade(spark, d):
 def expiry(spark, d):
     e = table(spark, d, "events")
     return e.crossJoin(F.broadcast(e.agg(F.max("ts").alias("now")))).where(F.col("ts") >= F.col("now") - F.expr("INTERVAL 3 DAYS")).select("event_id")
-
-
-@query("q_t11_proxy_health", None)
-def proxy_health(spark, d):
-    """Health of each user's proxy: +0.05 a success, -0.25 a failure, kept in 0.1..1; the fold is in order of time."""
-    e = table(spark, d, "events").groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("ts", "event_id", (F.col("event_type") == "error").alias("bad")))).alias("e"))
-    step = lambda h, x: F.greatest(F.lit(0.1), F.least(F.lit(1.0), h + F.when(x["bad"], -0.25).otherwise(0.05)))
-    health = F.aggregate("e", F.lit(1.0), step)
-    return e.select("user_id", F.round(health, 6).alias("health"), (health >= 0.25).alias("usable"))
