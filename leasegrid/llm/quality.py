@@ -170,13 +170,21 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         counts[i, np.frombuffer(at, np.int32)] = np.frombuffer(n, np.float32)
     y = got["y"].to_numpy(dtype=np.float64)
     idf = 1 + np.log((1 + len(got)) / (1 + (counts > 0).sum(axis=0)))
-    x = _weighted(counts, idf)
+    del got
+    # The driver holds the sample twice, in single precision; what is learned is in double.
+    x = np.empty_like(counts)
+    for i in range(0, len(x), 256):
+        x[i : i + 256] = _weighted(counts[i : i + 256], idf)
     # Leading singular directions by subspace iteration.
     rng = np.random.default_rng(7)
-    basis = np.linalg.qr(rng.standard_normal((DIMS, rank)))[0]
+    basis = np.linalg.qr(rng.standard_normal((DIMS, rank)).astype(np.float32))[0]
     for _ in range(8 if len(x) else 0):
         basis = np.linalg.qr(x.T @ (x @ basis))[0]
-    return QualityModel(idf, basis, _unit(x @ basis), y, k, vocabulary)
+    basis = basis.astype(np.float64)
+    vectors = np.zeros((len(x), rank))
+    for i in range(0, len(x), 256):
+        vectors[i : i + 256] = _unit(_weighted(counts[i : i + 256], idf) @ basis)
+    return QualityModel(idf, basis, vectors, y, k, vocabulary)
 
 
 def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
