@@ -171,10 +171,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y = got["y"].to_numpy(dtype=np.float64)
     idf = 1 + np.log((1 + len(got)) / (1 + (counts > 0).sum(axis=0)))
     del got
-    # The driver holds the sample twice, in single precision; what is learned is in double.
-    x = np.empty_like(counts)
+    # The driver holds the sample once, in single precision, and weighs it in place.
+    x = counts
     for i in range(0, len(x), 256):
-        x[i : i + 256] = _weighted(counts[i : i + 256], idf)
+        x[i : i + 256] = _weighted(x[i : i + 256], idf)
     # Leading singular directions by subspace iteration.
     rng = np.random.default_rng(7)
     basis = np.linalg.qr(rng.standard_normal((DIMS, rank)).astype(np.float32))[0]
@@ -183,7 +183,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     basis = basis.astype(np.float64)
     vectors = np.zeros((len(x), rank))
     for i in range(0, len(x), 256):
-        vectors[i : i + 256] = _unit(_weighted(counts[i : i + 256], idf) @ basis)
+        vectors[i : i + 256] = _unit(x[i : i + 256].astype(np.float64) @ basis)
     return QualityModel(idf, basis, vectors, y, k, vocabulary)
 
 

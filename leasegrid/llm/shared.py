@@ -91,7 +91,8 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60
             break
         half = written(_large(now, state[0]), "edges")
         discard(now)
-        now = written(_small(half, _state(half)[0]), "edges")
+        # At most as many edges as before.
+        now = written(_small(half, state[0]), "edges")
         discard(half)
         before, state = state, _state(now)
         if before == state:
