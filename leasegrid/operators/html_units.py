@@ -186,3 +186,54 @@ def page_shape(pages: DataFrame) -> DataFrame:
     share = F.when(F.col("body_bytes") > 0, 0.4 * (1.0 - F.least(F.lit(1.0), F.col("text_bytes") / F.greatest(F.lit(1), F.col("body_bytes"))))).otherwise(0.0)
     score = share + F.when(drawn, 0.3).otherwise(0.0) + F.when((F.col("n_rents") == 0) & (F.col("text_bytes") < 5000), 0.3).otherwise(0.0)
     return seen.withColumn("spa", F.bround(F.least(F.lit(1.0), score), 2))
+
+
+# What makes a link likely to lead to units, by its text, path and host, and what no such link holds.
+LINK_TEXT = (
+    ("availability", 100), ("floor plan", 90), ("floor-plan", 90), ("floorplan", 85), ("pricing", 80), ("rent", 70), ("apartment", 60),
+    ("unit", 55), ("lease", 50), ("tour", 40), ("apply", 30), ("schedule", 20),
+)
+LINK_PATH = (
+    ("/floor-plan", 95), ("/floorplan", 90), ("/availability", 95), ("/pricing", 80), ("/apartments", 70), ("/rent", 60), ("/units", 85),
+    ("/leasing", 50), ("/lease", 45), ("/floorplans", 90), ("/availabilities", 95),
+)
+LINK_HOST = (
+    (".rentcafe.com", 120), (".appfolio.com", 120), (".onlineleasing.realpage.com", 120), ("sightmap.com", 110), (".entrata.com", 115), ("commoncf.entrata.com", 115),
+)
+LINK_NEVER = (
+    "tel:", "mailto:", "javascript:", "#", ".pdf", ".jpg", ".jpeg", ".png", ".gif", ".webp", ".svg", ".mp4", ".mov", "/blog/", "/news/", "/privacy", "/terms",
+    "/accessibility", "/sitemap", "facebook.com/", "twitter.com/", "instagram.com/", "linkedin.com/", "youtube.com/", "/contact", "/careers", "/jobs",
+)
+ANCHOR = r"""(?is)<a\s(?:[^>]*\s)?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
+
+
+def ranked_links(pages: DataFrame, limit: int = 5) -> DataFrame:
+    """(page_id, href, score, anchor, place): a page's best internal links, by the weights of their text, path and host.
+
+    Links stay on the page's site or lead to a known portal. Of equal scores the link that comes first is better; of repeated
+    links the best score counts. References are made absolute without resolving `..`.
+    """
+    href, trimmed = F.col("_href"), F.trim(F.regexp_replace(F.regexp_replace("text", "<[^>]*>", " "), r"\s+", " "))
+    low = F.lower(href)
+    both = F.arrays_zip(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1)).alias("href"), F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2)).alias("text"))
+    site = F.regexp_extract("url", r"^(https?)://", 1), F.regexp_extract("url", r"^https?://([^/?#]*)", 1), F.regexp_extract("url", r"^https?://[^/?#]*([^?#]*/)", 1)
+    links = pages.select("page_id", "url", F.posexplode(both).alias("pos", "l")).select("page_id", "url", "pos", F.trim("l.href").alias("_href"), F.col("l.text").alias("text"))
+    links = links.where((href != "") & ~F.array_contains(F.array(*[low.contains(x) for x in LINK_NEVER]), True))
+    full = (
+        F.when(low.rlike("^[a-z][a-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(site[0], F.lit(":"), href)).when(href.startswith("/"), F.concat(site[0], F.lit("://"), site[1], href))
+        .otherwise(F.concat(site[0], F.lit("://"), site[1], F.coalesce(F.nullif(site[2], F.lit("")), F.lit("/")), href))
+    )
+    host = lambda c: F.lower(F.regexp_extract(c, r"^https?://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    # Generators keep the optimizer from copying these expressions into every use of their columns.
+    once = lambda df, **new: df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in new.items()]))))
+    links = once(links, href=full, anchor=F.substring(F.lower(trimmed), 1, 120)).where(F.col("href").rlike("^https?://"))
+    links = once(links, own=host(F.col("url")), host=host(F.col("href")), path=F.lower(F.regexp_extract("href", r"^https?://[^/?#]*([^?#]*)", 1)))
+    dotted = lambda c: F.concat(F.lit("."), c)
+    same = (F.col("host") == F.col("own")) | F.endswith("host", dotted("own")) | F.endswith("own", dotted("host"))
+    portal = F.array_contains(F.array(*[F.col("host").endswith(x) for x, _ in LINK_HOST]), True)
+    of = lambda c, hit, weights: sum((F.when(hit(F.col(c), x), n).otherwise(0) for x, n in weights), F.lit(0))
+    score = of("anchor", lambda c, x: c.contains(x), LINK_TEXT) + of("path", lambda c, x: c.contains(x), LINK_PATH) + of("host", lambda c, x: c.endswith(x), LINK_HOST)
+    kept = links.where((same | portal) & (F.regexp_replace("href", "/+$", "") != F.regexp_replace("url", "/+$", ""))).withColumn("score", score).where("score > 0")
+    best = kept.groupBy("page_id", "href").agg(F.max("score").alias("score"), F.min("pos").alias("pos"), F.min_by("anchor", F.struct(-F.col("score"), F.col("pos"))).alias("anchor"))
+    place = F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("score"), "pos"))
+    return best.withColumn("place", place).where(F.col("place") <= limit).select("page_id", "href", "score", "anchor", "place")

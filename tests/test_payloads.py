@@ -98,3 +98,20 @@ def test_pages(spark):
     ]
     ld = html_units.jsonld_units(df).orderBy("unit_number").collect()
     assert [tuple(r) for r in ld] == [(1, "A1", 1500.0, "AVAILABLE", 750, "1BR"), (1, "A2", 1600.5, "UNAVAILABLE", None, None)]
+
+
+def test_ranked_links(spark):
+    html = (
+        "<a href='/floor-plans/'>See</a><a class=x href=\"/about\">About us</a><a href='tel:1'>rent</a><a href='https://x.rentcafe.com/a'>Apply <b>now</b></a>"
+        "<a href='https://else.org/units'>units</a><a href='/floor-plans/'>Floor  Plan</a><a href='rent'>Go</a><a href='//www.h.org/units'>go</a><a href='/x/p'>apartment</a>"
+    )
+    df = spark.createDataFrame([(1, "https://h.org/x/p", html), (2, "https://h.org", None), (3, None, html), (4, "https://h.org", "")], "page_id long, url string, html string")
+    got = [tuple(r) for r in html_units.ranked_links(df).where("page_id < 3").orderBy("page_id", "place").collect()]
+    assert got == [
+        (1, "https://h.org/floor-plans/", 185, "floor plan", 1),
+        (1, "https://x.rentcafe.com/a", 150, "apply now", 2),
+        (1, "https://www.h.org/units", 85, "go", 3),
+        (1, "https://h.org/x/rent", 60, "go", 4),
+    ]
+    # A page without an address has no site of its own; only portals are left.
+    assert [r["href"] for r in html_units.ranked_links(df).where("page_id = 3").collect()] in ([], ["https://x.rentcafe.com/a"])
