@@ -115,3 +115,14 @@ def test_ranked_links(spark):
     ]
     # A page without an address has no site of its own; only portals are left.
     assert [r["href"] for r in html_units.ranked_links(df).where("page_id = 3").collect()] in ([], ["https://x.rentcafe.com/a"])
+
+
+def test_jsonld_of_any_depth(spark):
+    inner = '{"@type": "Apartment", "name": "deep [}", "note": "a \\" ] }"}'
+    for k in range(25):
+        inner = '{"a": [' + inner + "]}" if k % 2 else '{"@type": "T", "b": ' + inner + "}"
+    page = lambda s: f'<script type="application/ld+json">{s}</script>'
+    df = spark.createDataFrame([(1, page(inner) + page("[") + page("7")), (2, None), (3, page('"@type"')), (4, page('[{"@type": "Apartment", "name": "top"}]'))], "page_id long, html string")
+    assert sorted(map(tuple, html_units.jsonld_nodes(df).groupBy("page_id").count().collect())) == [(1, 14), (4, 1)]
+    assert sorted(r["unit_number"] for r in html_units.jsonld_units(df).collect()) == ["deep [}", "top"]
+    assert html_units.jsonld_nodes(df.where("page_id = 2")).count() == 0
