@@ -253,3 +253,40 @@ def ranked_links(pages: DataFrame, limit: int = 5) -> DataFrame:
     best = kept.groupBy("page_id", "href").agg(F.max("score").alias("score"), F.min("pos").alias("pos"), F.min_by("anchor", F.struct(-F.col("score"), F.col("pos"))).alias("anchor"))
     place = F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("score"), "pos"))
     return best.withColumn("place", place).where(F.col("place") <= limit).select("page_id", "href", "score", "anchor", "place")
+
+
+# JSON-LD types that describe homes or offers, and those of them that are units by type alone.
+JSONLD_TYPES = ("Apartment", "ApartmentComplex", "Offer", "FloorPlan", "Residence", "SingleFamilyResidence")
+JSONLD_UNITS = ("Apartment", "FloorPlan", "Residence", "Offer", "SingleFamilyResidence")
+
+
+def jsonld_offers(pages: DataFrame) -> DataFrame:
+    """A row for each JSON-LD home with offers, rooms or a size: plan name, bedrooms, sqft, lowest and highest rent.
+
+    Offers by themselves are read with their home only, summaries of all offers are no unit, and homes that name nothing go.
+    Of a list of offers the smallest and largest price count; a price or number of 0 counts as none.
+    """
+    node = F.col("node")
+    text = lambda path, of=node: F.nullif(F.try_variant_get(of, path, "string"), F.lit(""))
+    some = lambda path, of=node: F.nullif(text(path, of), F.lit("0"))
+    types = F.coalesce(F.try_variant_get(node, "$['@type']", "array<string>"), F.array(text("$['@type']")))
+    rooms = F.coalesce(text("$.numberOfRooms.value"), F.when(F.try_variant_get(node, "$.numberOfRooms", "map<string,variant>").isNull(), text("$.numberOfRooms")))
+    size = F.coalesce(text("$.floorSize.value"), F.when(F.try_variant_get(node, "$.floorSize", "map<string,variant>").isNull(), text("$.floorSize")))
+    listed = F.filter(F.transform(F.col("_offers"), lambda o: v.money_to_int(F.coalesce(some("$.price", o), some("$.lowPrice", o)))), lambda p: p.isNotNull())
+    home = F.arrays_overlap("_types", F.array(*map(F.lit, JSONLD_TYPES))) & ~F.array_contains("_types", "AggregateOffer") & (F.col("_types") != F.array(F.lit("Offer")))
+    read = jsonld_nodes(pages).select("page_id", "node", types.alias("_types")).where(home)
+    read = read.select("page_id", "_types", F.inline(F.array(F.struct(
+        text("$.name").alias("name"), rooms.alias("rooms"), size.alias("size"), F.try_variant_get(node, "$.offers", "array<variant>").alias("_offers"),
+        some("$.offers.price").alias("price"), some("$.offers.lowPrice").alias("low"), some("$.offers.highPrice").alias("high"),
+    ))))
+    priced = F.coalesce("price", "low", "high").isNotNull() | F.coalesce(F.size("_offers") > 0, F.lit(False))
+    signal = priced | F.coalesce(F.col("rooms").try_cast("double") > 0, F.lit(False)) | F.nullif("size", F.lit("0")).isNotNull() | F.arrays_overlap("_types", F.array(*map(F.lit, JSONLD_UNITS)))
+    named = F.coalesce("name", F.nullif("size", F.lit("0")), F.nullif("rooms", F.lit("0"))).isNotNull()
+    read = read.where(signal & (priced | named)).select("page_id", "name", "rooms", "size", "low", "price", "high", "_offers", F.inline(F.array(F.struct(listed.alias("_listed")))))
+    low = F.when(F.col("_offers").isNotNull(), F.array_min("_listed")).otherwise(v.money_to_int(F.coalesce("low", "price")))
+    high = F.when(F.col("_offers").isNotNull(), F.array_max("_listed")).otherwise(v.money_to_int(F.col("high")))
+    read = read.select("page_id", "name", "rooms", "size", low.alias("rent_low"), F.coalesce(high, low).alias("rent_high"))
+    dollars = lambda c: F.concat(F.lit("$"), F.format_number(c, 0))
+    span = F.when(F.col("rent_low") != F.col("rent_high"), F.concat(dollars("rent_low"), F.lit(" - "), dollars("rent_high"))).otherwise(dollars("rent_low"))
+    empty = lambda c: F.coalesce(c, F.lit(""))
+    return read.select("page_id", empty("name").alias("floor_plan_name"), empty("rooms").alias("bedrooms"), empty("size").alias("sqft"), "rent_low", "rent_high", empty(span).alias("rent_range"))

@@ -210,6 +210,17 @@ def jsonld(spark, d):
     return html_units.jsonld_units(orders_as(spark, d, page).select(F.col("payload_id").alias("page_id"), F.col("body").alias("html")))
 
 
+@query("q_x15_jsonld_offers", f"WITH {UNITS} SELECT payload_id AS page_id, plan AS floor_plan_name, beds::VARCHAR AS bedrooms, sqft::VARCHAR AS sqft, rent AS rent_low, rent + CASE flag WHEN 'R' THEN 50 WHEN 'A' THEN 100 ELSE 0 END AS rent_high, '$' || format('{{:,}}', rent) || CASE flag WHEN 'R' THEN ' - $' || format('{{:,}}', rent + 50) WHEN 'A' THEN ' - $' || format('{{:,}}', rent + 100) ELSE '' END AS rent_range FROM u")
+def jsonld_offers(spark, d):
+    """Plans with a list of offers, a range or one price, in a page that has a summary of all offers too."""
+    of = lambda kind, **f: F.struct(F.lit(kind).alias("@type"), *[c.alias(k) for k, c in f.items()])
+    offers = lambda x: F.parse_json(F.when(x.flag == "R", F.to_json(F.array(of("Offer", price=x.rent + 50), of("Offer", price=x.rent)))).when(x.flag == "A", F.to_json(of("AggregateOffer", lowPrice=x.rent, highPrice=dollars(x.rent + 100)))).otherwise(F.to_json(of("Offer", price=dollars(x.rent)))))
+    plan = lambda x: of("FloorPlan", name=x.plan, numberOfRooms=x.beds, floorSize=F.struct(x.sqft.alias("value")), offers=offers(x))
+    body = lambda u: F.to_json(of("ApartmentComplex", name=F.lit("A"), offers=F.array().cast("array<string>"), containsPlace=F.transform(u, plan), summary=of("AggregateOffer", lowPrice=F.lit(900))))
+    page = lambda u: F.concat(F.lit('<html><script type="application/ld+json">'), body(u), F.lit("</script></html>"))
+    return html_units.jsonld_offers(orders_as(spark, d, page).select(F.col("payload_id").alias("page_id"), F.col("body").alias("html")))
+
+
 @query("q_k13_run_report", """WITH t AS (SELECT ts::DATE AS run, event_type, count(*) AS n FROM events GROUP BY 1, 2)
 SELECT run, '# Run ' || run || chr(10) || chr(10) || '| Type | Events |' || chr(10) || '|-|-|' || chr(10) || string_agg('| ' || event_type || ' | ' || n || ' |', chr(10) ORDER BY n DESC, event_type) AS markdown FROM t GROUP BY 1""")
 def run_report(spark, d):

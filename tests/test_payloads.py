@@ -126,3 +126,20 @@ def test_jsonld_of_any_depth(spark):
     assert sorted(map(tuple, html_units.jsonld_nodes(df).groupBy("page_id").count().collect())) == [(1, 14), (4, 1)]
     assert sorted(r["unit_number"] for r in html_units.jsonld_units(df).collect()) == ["deep [}", "top"]
     assert html_units.jsonld_nodes(df.where("page_id = 2")).count() == 0
+
+
+def test_jsonld_offers(spark):
+    blocks = (
+        '{"@type": "ApartmentComplex", "name": "all"}',
+        '{"@type": ["AggregateOffer"], "lowPrice": 1}',
+        '{"@type": "Offer", "price": 900}',
+        '{"@type": "Apartment"}',
+        '{"@type": "Apartment", "name": "n"}',
+        '{"@type": ["Thing", "FloorPlan"], "numberOfRooms": {"value": 2}, "offers": [{"price": "x"}, {"price": 0, "lowPrice": "$1,100.90"}, {"price": 900}]}',
+        '{"@type": "Residence", "floorSize": 700, "offers": {"highPrice": 1500}}',
+        '{"@type": "Residence", "name": "r", "offers": {"price": 1200, "highPrice": "1200"}}',
+    )
+    df = spark.createDataFrame([(1, "".join(f'<script type="application/ld+json">{b}</script>' for b in blocks)), (2, None)], "page_id long, html string")
+    assert sorted(map(tuple, html_units.jsonld_offers(df).drop("page_id").collect()), key=repr) == sorted([
+        ("n", "", "", None, None, ""), ("", "2", "", 900, 1100, "$900 - $1,100"), ("", "", "700", None, 1500, ""), ("r", "", "", 1200, 1200, "$1,200"),
+    ], key=repr)
