@@ -10,10 +10,11 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leasegrid.functions import values as v
+from leasegrid.operators import walk
 
 # Containers looked for, specific ones first; how many of one kind a page may hold; patterns of unit facts.
 CONTAINERS = (
@@ -101,33 +102,11 @@ def dom_units(pages: DataFrame) -> DataFrame:
     return best.withColumn("_turn", turn).where("_turn = 1").select("page_id", "pos", "unit_number", "rent_low", "rent_high", "sqft", "bedrooms", "bathrooms", label.alias("bed_label"))
 
 
-#: Strings and brackets of a JSON text; strings are matched so that brackets inside them don't count.
-JSON_MARKS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[\]{}]'
-
-
-def json_depth(raw: Column) -> Column:
-    """How deep the objects and lists of a JSON text are nested."""
-    step = lambda m: F.when(m.isin("{", "["), 1).when(m.isin("}", "]"), -1).otherwise(0)
-    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-    walk = lambda s, m: F.struct((s["now"] + step(m)).alias("now"), F.greatest(s["most"], s["now"] + step(m)).alias("most"))
-    return F.aggregate(F.regexp_extract_all(raw, F.lit(JSON_MARKS), F.lit(0)), start, walk, lambda s: s["most"])
-
-
 def jsonld_nodes(pages: DataFrame) -> DataFrame:
-    """(page_id, node VARIANT) of every object that has @type in a page's JSON-LD blocks, however deep it is nested.
-
-    One pass over the pages finds the deepest nesting; the walk then has as many steps.
-    """
+    """(page_id, node VARIANT) of every object that has @type in a page's JSON-LD blocks, however deep it is nested."""
     block = r'(?is)<script[^>]*type\s*=\s*["\']application/ld\+json["\'][^>]*>(.*?)</script>'
-    level = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(block), F.lit(1))).alias("_raw")).where(F.try_parse_json("_raw").isNotNull())
-    depth = level.agg(F.max(json_depth(F.col("_raw")))).first()[0] or 0
-    level = level.select("page_id", F.array(F.try_parse_json("_raw")).alias("_nodes"))
-    deeper = lambda x: F.coalesce(F.try_variant_get(x, "$", "array<variant>"), F.map_values(F.try_variant_get(x, "$", "map<string,variant>")), F.array().cast("array<variant>"))
-    # A step's nodes are the next step's; generators keep the optimizer from writing each step out again in all later ones.
-    level = level.withColumn("_every", F.col("_nodes"))
-    for _ in range(depth - 1):
-        level = level.select("page_id", "_every", F.explode(F.array(F.flatten(F.transform("_nodes", deeper)))).alias("_nodes")).withColumn("_every", F.concat("_every", "_nodes"))
-    return level.select("page_id", F.explode("_every").alias("node")).where(F.try_variant_get("node", "$['@type']", "variant").isNotNull())
+    texts = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(block), F.lit(1))).alias("_raw"))
+    return walk.every_node(texts, "_raw").where(F.try_variant_get("node", "$['@type']", "variant").isNotNull())
 
 
 def jsonld_units(pages: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leasegrid.operators import html_units, payloads
+from leasegrid.operators import html_units, payloads, walk
 from leasegrid.plans.tables import table
 
 ALL: dict = {}
@@ -221,6 +221,15 @@ def jsonld_offers(spark, d):
     return html_units.jsonld_offers(orders_as(spark, d, page).select(F.col("payload_id").alias("page_id"), F.col("body").alias("html")))
 
 
+@query("q_x04_walked_units", f"WITH {UNITS} SELECT payload_id, unit AS unit_number, rent::DOUBLE AS asking_rent, CASE flag WHEN 'R' THEN 'UNAVAILABLE' WHEN 'A' THEN 'AVAILABLE' ELSE 'UNKNOWN' END AS availability_status, sqft::INT AS sqft, plan AS floor_plan_type FROM u")
+def walked_units(spark, d):
+    """Units two lists deep in a payload, beside objects that name none."""
+    status = lambda x: F.when(x.flag == "R", "Leased").when(x.flag == "A", "Available now").otherwise("soon")
+    unit = lambda x: F.struct(x.unit.alias("unitNumber"), dollars(x.rent).alias("marketRent"), status(x).alias("status"), x.sqft.alias("size"), x.plan.alias("floorPlan"), F.struct(x.line.alias("floor")).alias("place"))
+    body = lambda u: F.to_json(F.struct(F.struct(F.array(F.transform(u, unit)).alias("groups"), F.lit(1).alias("total")).alias("result")))
+    return walk.walked_units(orders_as(spark, d, body))
+
+
 @query("q_k13_run_report", """WITH t AS (SELECT ts::DATE AS run, event_type, count(*) AS n FROM events GROUP BY 1, 2)
 SELECT run, '# Run ' || run || chr(10) || chr(10) || '| Type | Events |' || chr(10) || '|-|-|' || chr(10) || string_agg('| ' || event_type || ' | ' || n || ' |', chr(10) ORDER BY n DESC, event_type) AS markdown FROM t GROUP BY 1""")
 def run_report(spark, d):

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from leasegrid.operators import html_units, payloads
+from leasegrid.operators import html_units, payloads, walk
 
 BODIES = {
     "sightmap": {"data": {"units": [
@@ -143,3 +143,11 @@ def test_jsonld_offers(spark):
     assert sorted(map(tuple, html_units.jsonld_offers(df).drop("page_id").collect()), key=repr) == sorted([
         ("n", "", "", None, None, ""), ("", "2", "", 900, 1100, "$900 - $1,100"), ("", "", "700", None, 1500, ""), ("r", "", "", 1200, 1200, "$1,200"),
     ], key=repr)
+
+
+def test_units_anywhere(spark):
+    body = '{"unit": "", "name": "A", "rent": "1.2.3", "kids": [[{"unitNumber": 7, "rent": "$1,200.50", "available": true, "size": "700.9 sq"}, {"rent": 5}], {"unit": "B", "rent": 0, "price": 9, "status": "unavailable soon", "type": "1x1"}, 3, null]}'
+    df = spark.createDataFrame([(1, body), (2, "{broken"), (3, None), (4, "[]"), (5, '{"name": "solo", "status": "avail. soon"}')], "payload_id long, body string")
+    assert sorted(map(tuple, walk.walked_units(df).collect()), key=repr) == sorted([
+        (1, "A", None, None, None, None), (1, "7", 1200.5, "AVAILABLE", 700, None), (1, "B", 0.0, "UNAVAILABLE", None, "1x1"), (5, "solo", None, "AVAILABLE", None, None),
+    ], key=repr)
