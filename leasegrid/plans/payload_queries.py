@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leasegrid.operators import html_units, payloads, walk
+from leasegrid.operators import html_units, lists, payloads, walk
 from leasegrid.plans.tables import table
 
 ALL: dict = {}
@@ -230,6 +230,32 @@ def walked_units(spark, d):
     return walk.walked_units(orders_as(spark, d, body))
 
 
+@query("q_x05_listed_units", f"""WITH {UNITS}, big AS (SELECT l_orderkey AS payload_id FROM lineitem GROUP BY 1 HAVING count(*) >= 3)
+SELECT payload_id, unit AS unit_id, rent AS market_rent_low, CASE flag WHEN 'R' THEN rent + 40 ELSE rent END AS market_rent_high, day AS available_date, CASE WHEN sqft > 100 THEN sqft END AS sqft, plan AS floor_plan, beds::VARCHAR AS bedrooms
+FROM u JOIN big USING (payload_id) WHERE rent BETWEEN 200 AND 50000""")
+def listed(spark, d):
+    """Rents as nested amounts, as lists of terms or plain; lists of fewer than three are no units, nor are lists without rents."""
+    u = unit_lines(spark, d)
+    rent = lambda x: F.parse_json(F.when(x.flag == "R", F.to_json(F.struct(dollars(x.rent).alias("min"), (x.rent + 40).alias("max")))).otherwise(F.to_json(F.transform(F.array(x.rent + 9, x.rent), lambda r: F.struct(r.alias("rent"))))))
+    size = lambda x: F.parse_json(F.when(x.sqft > 100, F.to_json(F.struct(x.sqft.alias("v"))).substr(F.lit(6), F.length(x.sqft.cast("string")))).otherwise(F.lit('"small"')))
+    unit = lambda x: F.struct(x.unit.alias("unitId"), rent(x).alias("rent"), size(x).alias("area"), x.day.alias("moveInDate"), x.plan.alias("floorPlanName"), x.beds.alias("beds"), F.transform(F.array(F.lit(1), F.lit(2)), lambda i: F.struct(i.alias("id"), F.lit(900).alias("price"))).alias("fees"))
+    body = lambda us: F.to_json(F.struct(F.transform(us, lambda x: F.struct(x.unit.alias("id"))).alias("menu"), F.struct(F.array(F.transform(us, unit)).alias("pages")).alias("out")))
+    return lists.listed_units(orders_as(spark, d, body))
+
+
+@query("q_x06_broad", f"""WITH {UNITS}, f AS (SELECT o_custkey AS site, u.*, row_number() OVER (PARTITION BY o_custkey, CASE WHEN flag = 'N' THEN unit ELSE plan || '|' || beds || '|' || sqft || '|' || CASE WHEN flag = 'A' THEN '' ELSE '$' || format('{{:,}}', rent) END END ORDER BY payload_id, line) AS turn FROM u JOIN orders ON payload_id = o_orderkey),
+s AS (SELECT site, flag, plan AS floor_plan_name, CASE WHEN beds = 0 THEN 'Studio' ELSE beds || ' Bedroom' END AS bed_label, sqft::VARCHAR AS sqft, CASE WHEN flag = 'N' THEN unit ELSE '' END AS unit_number, CASE WHEN flag = 'A' THEN '' ELSE '$' || format('{{:,}}', rent) END AS rent_range, CASE WHEN flag = 'R' THEN 'AVAILABLE' ELSE '' END AS availability_status FROM f WHERE turn = 1)
+SELECT * EXCLUDE (flag) FROM s WHERE flag <> 'A' OR site NOT IN (SELECT site FROM s WHERE flag <> 'A')""")
+def broad(spark, d):
+    """All payloads of a customer are one site; A lines have neither number nor rent and only count where a site has nothing better."""
+    one = lambda x: F.struct(x.plan.alias("title"), x.beds.alias("num_bedrooms"), x.sqft.alias("displayArea"), F.when(x.flag == "N", x.unit).alias("unitCode"), F.when(x.flag != "A", dollars(x.rent)).alias("starting_rent"), F.when(x.flag == "R", 2).otherwise(0).alias("units_available"))
+    body = lambda u: F.to_json(F.struct(F.lit("ok").alias("state"), F.struct(F.struct(F.transform(u, one).alias("Apartments")).alias("results")).alias("response")))
+    made = orders_as(spark, d, body).select(F.col("payload_id").alias("seq"), "body")
+    sites = table(spark, d, "orders").select(F.col("o_orderkey").alias("seq"), F.col("o_custkey").alias("site"))
+    found = lists.broad_units(made.join(sites, "seq").select("site", "seq", F.lit("api.example.com").alias("host"), "body"))
+    return found.select("site", "floor_plan_name", "bed_label", "sqft", "unit_number", "rent_range", "availability_status")
+
+
 @query("q_k13_run_report", """WITH t AS (SELECT ts::DATE AS run, event_type, count(*) AS n FROM events GROUP BY 1, 2)
 SELECT run, '# Run ' || run || chr(10) || chr(10) || '| Type | Events |' || chr(10) || '|-|-|' || chr(10) || string_agg('| ' || event_type || ' | ' || n || ' |', chr(10) ORDER BY n DESC, event_type) AS markdown FROM t GROUP BY 1""")
 def run_report(spark, d):
