@@ -31,6 +31,21 @@ ALLOWED_HOSTS = ("api.ws.realpage.com", "onlineleasing.realpage.com")
 UNIT_PARTS = ("/api/", "/availabilities", "/floor-plans", "floorplan", "availability", "/pricing", "/units", "/apartments", "getfloorplans", "getavailabilities", "propertyinfo")
 # Words in the path of a page about units.
 PROPERTY_WORDS = ("floor-plan", "floorplan", "apartment", "unit", "bedroom", "studio", "availability", "lease", "rent", "plan", "conventional", "pricing", "available")
+# Paths that never lead to units.
+NON_PROPERTY = (
+    r"/(?:contact|help|support|faq|about|career|job|press|news|blog|media"
+    r"|privacy|terms|legal|policy|cookie|accessibility|sitemap"
+    r"|login|sign-?in|register|account|profile|password|reset"
+    r"|gallery|photo|video|virtual-tour|tour|3d"
+    r"|amenit|neighborhood|area|location|direction|map|nearby"
+    r"|resident|portal|pay|maintenance|apply|application"
+    r"|review|testimonial|team|staff|management"
+    r"|pet|parking|storage|gym|pool|fitness"
+    r"|schedule|appointment|call|request"
+    r"|thank|confirm|success|error|404|403"
+    r"|wp-content|wp-admin|wp-json|assets|static|cdn"
+    r"|\.pdf|\.jpg|\.png|\.svg|\.gif|\.css|\.js)(?:/|$|\?|#)"
+)
 # Providers by host, by marks in a page (first match wins), by company, and the names a hint may use.
 PROVIDER_HOSTS = (
     (r"^\d{3,9}\.onlineleasing\.realpage\.com$", "onesite", 0.95),
@@ -215,6 +230,30 @@ def property_link(url: Column) -> Column:
     return F.coalesce(_any([path.contains(w) for w in PROPERTY_WORDS]), F.lit(False))
 
 
+def exploratory_link(url: Column, base: Column) -> Column:
+    """A link worth a visit when all else failed: same host, not the base page itself, not about units, not a page that never has any."""
+    host = lambda c: F.regexp_replace(F.lower(F.regexp_extract(c, r"^[^:]+://([^/?#]*)", 1)), r"^www\.", "")
+    path = F.lower(url_path(url))
+    return F.coalesce((host(url) == host(base)) & ~path.isin("", "/") & (path != F.lower(url_path(base))) & ~property_link(url) & ~path.rlike(NON_PROPERTY), F.lit(False))
+
+
+def needs_retry(tier: Column, verdict: Column, units: Column, errors: Column) -> Column:
+    """A failed tier or verdict, no units, or any error; a resumed run passes no errors."""
+    failed = lambda c: F.coalesce(F.upper(c).contains("FAIL"), F.lit(False))
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    return failed(tier) | failed(verdict) | (size(units) <= 0) | (size(errors) > 0)
+
+
+def smoke_problems(outcome: Column, found: Column, units: Column, tier: Column, banner: Column, confidence: Column) -> Column:
+    """What is wrong with an event and its output (found, with so many units); a success must have units, a tier, a banner and a confidence."""
+    full = F.coalesce(found & (outcome == "SUCCESS"), F.lit(False))
+    tests = [
+        ("outcome", ~F.coalesce(outcome.isin("SUCCESS", "SKIPPED"), F.lit(False))), ("missing output", ~F.coalesce(found, F.lit(False))), ("no units", full & (F.coalesce(units, F.lit(0)) == 0)),
+        ("tier", full & ~F.coalesce(tier.between(1, 5), F.lit(False))), ("banner", full & ~F.coalesce(banner, F.lit(False))), ("confidence", full & ~F.coalesce(confidence.between(0, 1), F.lit(False))),
+    ]
+    return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in tests]))
+
+
 def absolute_url(base: Column, href: Column) -> Column:
     """The link as an absolute URL, or null: pseudo-links, other schemes and foreign hosts have none. Dot segments stay as they are."""
     link = F.trim(href)

@@ -122,6 +122,15 @@ def issues(df: DataFrame, keys: list[str], rules: list[tuple[str, str, Column]])
     return df.select(*keys, F.explode(found).alias("_f")).select(*keys, "_f.severity", "_f.code")
 
 
+def property_issues_v2(df: DataFrame, key: str, required: tuple[str, ...]) -> DataFrame:
+    """(key, severity, code, field): required fields that are null or blank, apartment ids under 1, ZIP codes of other than five digits."""
+    blank = lambda c: F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == "")
+    finding = lambda severity, code, field, test: F.when(test, F.struct(F.lit(severity).alias("severity"), F.lit(code).alias("code"), F.lit(field).alias("field")))
+    found = [finding("ERROR", "V2_MISSING_REQUIRED", c, blank(c)) for c in required]
+    found += [finding("ERROR", "V2_INVALID_APARTMENT_ID", "apartment_id", F.col("apartment_id") < 1), finding("WARNING", "V2_INVALID_ZIP", "zip_code", ~F.col("zip_code").rlike(r"^\d{5}$"))]
+    return df.select(key, F.explode(F.array_compact(F.array(*found))).alias("_f")).select(key, "_f.*")
+
+
 def tier_cascade(tiers: list[DataFrame], key: str) -> DataFrame:
     """Rows of the first tier that has any for a key."""
     out = None
