@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leasegrid.llm import bpe, embedding_dedup, language_id, line_dedup, ngram_join, order_minhash, packing, permutation_ann, quality, sharding, tool_calls
+from leasegrid.llm import bpe, conversation_repair, conversation_trie, embedding_dedup, language_id, line_dedup, ngram_join, order_minhash, packing, permutation_ann, quality, sharding, tool_calls
 from leasegrid.llm.shared import data_file, scratch_dir
 
 #: Capacity of a packed bin in bytes, about 4,096 tokens.
@@ -83,11 +83,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), CAPACITY)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
 def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compare_edited(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_language_id, op3_sharding, op4_line_dedup, op5_quality, op6_byte_bpe, op7_tool_calls, op8_ngram_join, op9_permutation_ann, op10_packing, op12_order_minhash)}
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie_of_rebuilt(_table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_language_id, op3_sharding, op4_line_dedup, op5_quality, op6_byte_bpe, op7_tool_calls, op8_ngram_join, op9_permutation_ann, op10_packing, op11_conversation_repair, op12_order_minhash, op13_conversation_trie)}
 
 _KEY = r"translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
