@@ -111,9 +111,12 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     longest = base.where("id is not null").groupBy("id").agg(F.max(half).alias("half"))
     links = written(successors(base, "id").join(longest, "id").select(F.col("next_id").alias("id"), F.col("id").alias("before"), "half"), "next-ids")
     # What each document hands to the one before it: no more of its text than that one can take.
-    heads = base.join(links, "id").select("before", F.xxhash64("text").alias("by"), F.substring("text", F.lit(1), F.col("half")).alias("head"))
+    # Both joins read the same exchange of (id, text): rows without id stand aside so that neither plan has a filter of its own.
+    known = base.where("id is not null")
+    heads = known.join(links, "id").select("before", F.xxhash64("text").alias("by"), F.substring("text", F.lit(1), F.col("half")).alias("head"))
     heads = heads.groupBy("before").agg(F.min(F.struct("by", "head"))["head"].alias("head"))
-    both = base.join(heads, base["id"] == heads["before"], "left")
+    both = known.join(heads, known["id"] == heads["before"], "left").select("id", "text", "head")
+    both = both.unionByName(base.where("id is null").select("id", "text", F.lit(None).cast("string").alias("head")))
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.coalesce(F.substring("head", F.lit(1), half), F.lit("")))
     both = both.select("id", F.length("text").cast("long").alias("n_chars"), F.xxhash64("text").alias("by"), "text", edited.alias("edited"))
     both = both.withColumn("sha", F.unhex(F.sha2("edited", 256)))
