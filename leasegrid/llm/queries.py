@@ -99,6 +99,32 @@ QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_language_id, op3_sha
 
 _KEY = r"translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: CRC-32 of a text of ASCII letters by its table, as CTEs for WITH RECURSIVE.
+_CRC = """crc(i, c, k) AS (SELECT i, i::BIGINT, 0 FROM range(256) t(i) UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END, k + 1 FROM crc WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM crc WHERE k = 8)"""
+
+
+def _crc(text: str) -> str:
+    return f"xor(list_reduce([4294967295::BIGINT] || list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT), lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295::BIGINT)"
+
+
+def _plus(state: str, cost: str, letters: str) -> str:
+    """A state's best so far, ten digits of cost and then the letters, so that texts compare as it has to; ~ if it can't be."""
+    return f"CASE WHEN {state} = '~' THEN '~' ELSE printf('%010d', left({state}, 10)::BIGINT + {cost}) || substr({state}, 11) || '{letters}' END"
+
+
+def _stays(state: str, role: str, before: str = "", more: int = 0) -> str:
+    """A turn that stays: kept if its role is the one due, or given that role."""
+    return f"CASE WHEN x = '{role}' THEN {_plus(state, f'{more} + t', before + 'K')} ELSE '~' END, {_plus(state, f'{more + 2} + t', before + 'R')}"
+
+
+_STEP = {
+    "e": _plus("e", "3", "D"),
+    "s": f"CASE WHEN go THEN {_plus('s', '3', 'D')} ELSE least({_plus('s', '3', 'D')}, CASE WHEN x = 's' THEN {_plus('e', 't', 'K')} ELSE '~' END) END",
+    "u": f"CASE WHEN go THEN {_plus('u', '3', 'D')} ELSE least({_plus('u', '3', 'D')}, {', '.join(_stays(z, 'u') for z in 'esa')}, {_stays('u', 'u', 'I', 2)}) END",
+    "a": f"CASE WHEN go THEN {_plus('a', '3', 'D')} ELSE least({_plus('a', '3', 'D')}, {_stays('u', 'a')}, {', '.join(_stays(z, 'a', 'I', 2) for z in 'esa')}) END",
+}
+
 SQL = {
     "op1_embedding_dedup": """
 WITH RECURSIVE v AS (
@@ -144,4 +170,41 @@ links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
 reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(c.m, d.doc_id)) AS component_id
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a, min(b) AS m FROM reach GROUP BY a) c ON c.a = d.doc_id""",
+    "op11_conversation_repair": rf"""
+WITH RECURSIVE {_CRC},
+raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS k FROM conversations, tab),
+damaged AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM raw, range(2) c(i) WHERE k <> 0 AND (i = 0 OR k = 3)),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+  regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last, left(role, 1) AS x FROM damaged),
+f AS (SELECT *, CASE WHEN last = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd' WHEN last NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+  coalesce(lag(x) OVER (PARTITION BY conv_id ORDER BY i) || x NOT IN ('su', 'ua', 'au'), false) AS odd FROM r),
+g AS (SELECT *, fault IN ('b', 'd') AS go, (fault = 't')::INT AS t FROM f),
+convs AS (SELECT DISTINCT conv_id FROM conversations),
+told AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (odd) AS illegal FROM f GROUP BY 1),
+dp(conv_id, i, e, s, u, a) AS (SELECT conv_id, 0::BIGINT, '0000000000', '~', '~', '~' FROM convs UNION ALL
+  SELECT d.conv_id, g.i, {", ".join(f"{_STEP[z]}" for z in "esua")} FROM dp d JOIN g ON g.conv_id IS NOT DISTINCT FROM d.conv_id AND g.i = d.i + 1),
+best AS (SELECT conv_id, least(e, a, {_plus("u", "2", "I")}, {_plus("s", "4", "II")}) AS b FROM dp QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1),
+letters AS (SELECT conv_id, j, substr(b, 10 + j, 1) AS c FROM (SELECT conv_id, b, unnest(range(1, length(b) - 9)) AS j FROM best)),
+placed AS (SELECT *, count(*) FILTER (c <> 'I') OVER w AS i, count(*) FILTER (c <> 'D') OVER w AS m, count(*) FILTER (c <> 'D') OVER (PARTITION BY conv_id) AS n FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY j ROWS UNBOUNDED PRECEDING)),
+said AS (SELECT p.conv_id, sha256(string_agg(CASE WHEN c = 'K' THEN role WHEN (n - m) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN c = 'I' THEN '' ELSE text END, chr(10) ORDER BY j)) AS h
+  FROM placed p LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM p.conv_id AND g.i = p.i WHERE c <> 'D' GROUP BY 1)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  left(b, 10)::BIGINT AS cost, substr(b, 11) AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM convs c JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN told ON told.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN said ON said.conv_id IS NOT DISTINCT FROM c.conv_id""",
+    "op13_conversation_trie": f"""
+WITH RECURSIVE {_CRC},
+o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, m, conv_id - conv_id % 5 AS base, {_crc("conv_id::VARCHAR")} % 9 AS h FROM (SELECT conv_id, max(p) AS m FROM o GROUP BY 1), tab),
+r AS (SELECT o.conv_id, p - c.h + least(c.h, coalesce(b.m, 0)) AS d, role, text FROM o JOIN c USING (conv_id) LEFT JOIN c b ON b.conv_id = c.base WHERE p > c.h
+  UNION ALL SELECT c.conv_id, p, role, text FROM c JOIN o ON o.conv_id = c.base WHERE p <= h),
+n AS (SELECT conv_id, d, octet_length(encode(text)) AS bytes, md5(array_to_string(list(md5(length(role) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY d), '')) AS path FROM r UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+m AS (SELECT *, min(conv_id) OVER (PARTITION BY d, path) AS node, count(*) OVER (PARTITION BY d, path) AS n, max(d) OVER (PARTITION BY conv_id) AS last FROM n),
+nodes AS (SELECT x.node, x.d, x.n, min(y.node) AS parent, max((x.n - 1) * x.bytes) AS saved, sha256(coalesce(string_agg(x.conv_id::VARCHAR, ',' ORDER BY x.conv_id) FILTER (x.last = x.d), '')) AS ends
+  FROM m x LEFT JOIN m y ON y.conv_id = x.conv_id AND y.d = x.d - 1 GROUP BY 1, 2, 3),
+kids AS (SELECT parent, d - 1 AS d, count(*) AS k FROM nodes WHERE d > 0 GROUP BY 1, 2),
+full_nodes AS (SELECT nodes.*, coalesce(k, 0) AS k FROM nodes LEFT JOIN kids ON kids.parent = node AND kids.d = nodes.d),
+below AS (SELECT DISTINCT a.node AS top, a.d AS top_d, b.node, b.d FROM m a JOIN m b ON a.conv_id = b.conv_id AND b.d >= a.d)
+SELECT t.node AS conv_id, t.d AS depth, t.parent AS parent_conv_id, t.n AS n_convs, t.k AS n_children, count(*) FILTER (s.k = 0) AS n_leaves, sum(s.saved)::BIGINT AS saved_tokens, t.ends AS ends_sha256
+FROM full_nodes t JOIN below ON top = t.node AND top_d = t.d JOIN full_nodes s ON s.node = below.node AND s.d = below.d GROUP BY ALL""",
 }
