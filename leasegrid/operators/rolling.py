@@ -36,3 +36,37 @@ def maturity_steps(df: DataFrame, key: str, order: list[str], ok: Column, tier:
     made = F.when(F.col("successes") >= 3, "HOT").when(F.col("successes") >= 1, "WARM").when(F.col("failures") >= 3, "COLD")
     s = s.withColumn("maturity", F.coalesce(F.last(made, ignorenulls=True).over(sofar), F.lit("COLD")))
     return s.withColumn("preferred_tier", F.min(F.when(F.col("_ok"), tier)).over(sofar)).drop("_ok", "_k", "_bad", "_good")
+
+
+def last_attempts(df: DataFrame, key: str, seconds: str, order: str, bad: str, span: int, most: int, threshold: float, grain: int = 3600) -> DataFrame:
+    """df with n and errors of each key's last `most` rows that are also of its last `span` seconds, each row with those before it, and
+    forced: was the rate above threshold at this row or any before it?
+
+    Rows are in order of (seconds, order), which has to be unique in a key. No key is a task: rows are numbered in pieces of `grain`
+    seconds, pieces get the sums before them, and both ends of a row's window are then rows of running counts, met by number. Rows
+    without key or time get nulls.
+    """
+    told = df.where(F.col(key).isNotNull() & F.col(seconds).isNotNull())
+    piece = lambda at: F.floor(at / grain)
+    at, first = F.col(seconds), F.col(seconds) - span
+    own = told.select(key, piece(at).alias("_piece"), at.alias("_at"), F.lit(1).alias("_row"), F.col(order).alias("_order"), F.coalesce(F.col(bad).cast("int"), F.lit(0)).alias("_bad"))
+    # A probe stands before the rows of the second its row's window begins with.
+    probe = told.select(key, piece(first).alias("_piece"), first.alias("_at"), F.lit(0).alias("_row"), F.col(order).alias("_order"), F.lit(0).alias("_bad"))
+    every = own.unionByName(probe)
+    before = Window.partitionBy(key).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = every.groupBy(key, "_piece").agg(F.sum("_row").alias("_n"), F.sum("_bad").alias("_e"))
+    pieces = pieces.select(key, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_e").over(before), F.lit(0)).alias("_e0"))
+    inside = Window.partitionBy(key, "_piece").orderBy("_at", "_row", "_order").rowsBetween(Window.unboundedPreceding, 0)
+    counted = every.select("*", F.sum("_row").over(inside).alias("_k"), F.sum("_bad").over(inside).alias("_f")).join(pieces, [key, "_piece"])
+    counted = counted.select(key, "_piece", "_row", "_order", (F.col("_k") + F.col("_n0")).alias("_k"), (F.col("_f") + F.col("_e0")).alias("_f"))
+    ends = counted.where("_row = 1").select(key, "_piece", "_order", F.col("_k").alias("_to"), F.col("_f").alias("_to_e"))
+    starts = counted.where("_row = 0").select(F.col(key).alias("_key"), F.col("_order").alias("_own"), F.col("_k").alias("_from"))
+    spans = ends.join(starts, (F.col(key) == F.col("_key")) & (F.col("_order") == F.col("_own"))).withColumn("_from", F.greatest("_from", F.col("_to") - most))
+    left = ends.select(F.col(key).alias("_left"), F.col("_to").alias("_at"), F.col("_to_e").alias("_before"))
+    rates = spans.join(left, (F.col(key) == F.col("_left")) & (F.col("_from") == F.col("_at")), "left")
+    rates = rates.select(key, "_piece", "_order", "_to", (F.col("_to") - F.col("_from")).alias("n"), (F.col("_to_e") - F.coalesce("_before", F.lit(0))).alias("errors"))
+    # The first row over the threshold, brought to rows by their pieces.
+    since = rates.where(F.col("errors") > threshold * F.col("n")).groupBy(key).agg(F.min("_to").alias("_since"))
+    since = pieces.select(key, "_piece").join(since, key)
+    rates = rates.join(since, [key, "_piece"], "left").select(F.col(key).alias("_key"), "_order", "n", "errors", F.coalesce(F.col("_to") >= F.col("_since"), F.lit(False)).alias("forced"))
+    return df.join(rates, (df[key] == F.col("_key")) & (df[order] == F.col("_order")), "left").drop("_key", "_order")

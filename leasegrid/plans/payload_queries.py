@@ -12,8 +12,10 @@ from leasegrid.operators import html_units, lists, payloads, walk
 from leasegrid.plans.tables import table
 
 ALL: dict = {}
+#: Order and line number are no key of the line items: what an order's lines are sorted by, in full.
+ORDERED = ("line", "part", "unit", "sqft", "rent", "flag", "site", "day", "plan", "beds")
 SHOWN = ("payload_id", "floor_plan_name", "bed_label", "sqft", "unit_number", "rent_range", "availability_status", "availability_date")
-UNITS = """u AS (SELECT l_orderkey AS payload_id, l_linenumber AS line, 'U' || l_linenumber || '-' || l_partkey AS unit, p_name AS plan, p_size % 4 AS beds,
+UNITS = """u AS (SELECT l_orderkey AS payload_id, l_linenumber AS line, l_partkey AS part, 'U' || l_linenumber || '-' || l_partkey AS unit, p_name AS plan, p_size % 4 AS beds,
   (l_quantity * 25)::BIGINT AS sqft, floor(l_extendedprice)::BIGINT AS rent, l_returnflag AS flag, l_linestatus AS site, strftime(l_shipdate, '%Y-%m-%d') AS day,
   CASE WHEN p_size % 4 = 0 OR contains(lower(p_name), 'studio') THEN 'Studio' ELSE (p_size % 4) || ' Bedroom' END AS label FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 
@@ -99,11 +101,15 @@ def generic_body(u: Column) -> Column:
     return F.to_json(F.struct(F.struct(listed.alias("listings")).alias("result")))
 
 
-def orders_as(spark, d, body) -> DataFrame:
-    """(payload_id, site, body): an order holds a few lines, so its body stays small."""
+def orders(spark, d) -> DataFrame:
+    """(payload_id, u): the lines of each order, in order of ORDERED; an order holds a few."""
     u = unit_lines(spark, d)
-    grouped = u.groupBy("payload_id").agg(F.sort_array(F.collect_list(F.struct("line", *[c for c in u.columns if c not in ("line", "payload_id")]))).alias("u"))
-    return grouped.select("payload_id", F.get("u", F.lit(0)).site.alias("site"), body(F.col("u")).alias("body"))
+    return u.groupBy("payload_id").agg(F.sort_array(F.collect_list(F.struct(*ORDERED))).alias("u"))
+
+
+def orders_as(spark, d, body) -> DataFrame:
+    """(payload_id, site, body): an order's body stays small, as its lines are few."""
+    return orders(spark, d).select("payload_id", F.get("u", F.lit(0)).site.alias("site"), body(F.col("u")).alias("body"))
 
 
 def read_back(spark, d, body, only: str) -> DataFrame:
@@ -158,12 +164,10 @@ def generic(spark, d):
 @query("q_x14_dispatch", f"WITH {UNITS} SELECT payload_id, CASE o_orderpriority WHEN '1-URGENT' THEN 'sightmap' WHEN '2-HIGH' THEN 'rentcafe' WHEN '3-MEDIUM' THEN 'entrata' WHEN '5-LOW' THEN 'onesite' ELSE 'appfolio' END AS layout, unit AS unit_number, label AS bed_label FROM u JOIN orders ON payload_id = o_orderkey")
 def dispatch(spark, d):
     """Bodies in five layouts, told apart by their shape alone."""
-    u = unit_lines(spark, d)
-    grouped = u.groupBy("payload_id").agg(F.sort_array(F.collect_list(F.struct("line", *[c for c in u.columns if c not in ("line", "payload_id")]))).alias("u"))
-    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("payload_id"), F.col("o_orderpriority").alias("p"))
+    priorities = table(spark, d, "orders").select(F.col("o_orderkey").alias("payload_id"), F.col("o_orderpriority").alias("p"))
     x, p = F.col("u"), F.col("p")
     body = F.when(p == "1-URGENT", sightmap_body(x)).when(p == "2-HIGH", rentcafe_body(x)).when(p == "3-MEDIUM", entrata_body(x)).when(p == "5-LOW", onesite_body(x)).otherwise(appfolio_body(x))
-    return payloads.unit_rows(grouped.join(orders, "payload_id").select("payload_id", body.alias("body"))).select("payload_id", "layout", "unit_number", "bed_label")
+    return payloads.unit_rows(orders(spark, d).join(priorities, "payload_id").select("payload_id", body.alias("body"))).select("payload_id", "layout", "unit_number", "bed_label")
 
 
 @query("q_x21_mapping", f"WITH {UNITS} SELECT payload_id, unit AS unit_id, sqft, CASE WHEN flag <> 'R' AND rent BETWEEN 200 AND 50000 THEN rent::DOUBLE END AS market_rent_low, day AS available_date, 0.85::DOUBLE AS confidence FROM u")
@@ -243,7 +247,7 @@ def listed(spark, d):
     return lists.listed_units(orders_as(spark, d, body))
 
 
-@query("q_x06_broad", f"""WITH {UNITS}, f AS (SELECT o_custkey AS site, u.*, row_number() OVER (PARTITION BY o_custkey, CASE WHEN flag = 'N' THEN unit ELSE plan || '|' || beds || '|' || sqft || '|' || CASE WHEN flag = 'A' THEN '' ELSE '$' || format('{{:,}}', rent) END END ORDER BY payload_id, line) AS turn FROM u JOIN orders ON payload_id = o_orderkey),
+@query("q_x06_broad", f"""WITH {UNITS}, f AS (SELECT o_custkey AS site, u.*, row_number() OVER (PARTITION BY o_custkey, CASE WHEN flag = 'N' THEN unit ELSE plan || '|' || beds || '|' || sqft || '|' || CASE WHEN flag = 'A' THEN '' ELSE '$' || format('{{:,}}', rent) END END ORDER BY payload_id, line, part, unit, sqft, rent, flag, site, day, plan, beds) AS turn FROM u JOIN orders ON payload_id = o_orderkey),
 s AS (SELECT site, flag, plan AS floor_plan_name, CASE WHEN beds = 0 THEN 'Studio' ELSE beds || ' Bedroom' END AS bed_label, sqft::VARCHAR AS sqft, CASE WHEN flag = 'N' THEN unit ELSE '' END AS unit_number, CASE WHEN flag = 'A' THEN '' ELSE '$' || format('{{:,}}', rent) END AS rent_range, CASE WHEN flag = 'R' THEN 'AVAILABLE' ELSE '' END AS availability_status FROM f WHERE turn = 1)
 SELECT * EXCLUDE (flag) FROM s WHERE flag <> 'A' OR site NOT IN (SELECT site FROM s WHERE flag <> 'A')""")
 def broad(spark, d):

@@ -171,12 +171,12 @@ def public(spark, d):
     return r.public_columns(table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("_balance"), F.lit(1).alias("_x.y")))
 
 
-@query("q_k15_costs", """SELECT event_id, user_id, CASE event_type WHEN 'view' THEN 'proxy_mb' WHEN 'click' THEN 'vision' ELSE 'llm' END AS category, round(CASE event_type WHEN 'view' THEN value * 65536 / 1048576 * 0.5 ELSE value END, 6) AS cost_usd FROM events WHERE value IS NOT NULL""")
+@query("q_k15_costs", """SELECT event_id, user_id, CASE event_type WHEN 'view' THEN 'proxy_mb' WHEN 'click' THEN 'vision' ELSE 'llm' END AS category, CASE event_type WHEN 'view' THEN value * 65536 / 1048576 * 0.5 ELSE value END AS cost_usd FROM events WHERE value IS NOT NULL""")
 def costs(spark, d):
-    """Entries of the cost ledger; traffic is priced by the megabyte."""
+    """Entries of the cost ledger, not rounded; traffic is priced by the megabyte."""
     kind = F.when(F.col("event_type") == "view", "proxy_mb").when(F.col("event_type") == "click", "vision").otherwise("llm")
     e = table(spark, d, "events").where("value is not null").withColumn("category", kind)
-    return e.select("event_id", "user_id", "category", F.round(F.when(F.col("category") == "proxy_mb", F.col("value") * 65536 / 1048576 * 0.5).otherwise(F.col("value")), 6).alias("cost_usd"))
+    return e.select("event_id", "user_id", "category", F.when(F.col("category") == "proxy_mb", F.col("value") * 65536 / 1048576 * 0.5).otherwise(F.col("value")).alias("cost_usd"))
 
 
 @query("q_k14_versions", "SELECT user_id, max(event_id) AS event_id, count(*) AS version FROM events GROUP BY 1")

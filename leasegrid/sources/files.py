@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,3 +100,22 @@ def keep_recent(df: DataFrame, date_col: str, as_of: str, days: int = 30) -> Dat
     """Rows whose date is not before as_of - days; unreadable dates stay."""
     date = F.try_to_date(F.col(date_col).cast("string"))
     return df.where(date.isNull() | (date >= F.date_sub(F.lit(as_of).cast("date"), days)))
+
+
+def drop_old(spark: SparkSession, root: str, as_of: str, days: int = 30) -> list[str]:
+    """Deletes what lies in root and is named for a date before as_of - days, unread; returns those names.
+
+    Names are dates (2026-01-31), dates with an ending (.html, .png), or partitions (run_date=2026-01-31); all others stay.
+    """
+    least = datetime.date.fromisoformat(as_of) - datetime.timedelta(days=days)
+    gone = []
+    for name in names(spark, root):
+        try:
+            date = datetime.date.fromisoformat(name.partition("=")[2] or name.partition(".")[0])
+        except ValueError:
+            continue
+        if date < least:
+            at = spark._jvm.org.apache.hadoop.fs.Path(root, name)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            gone.append(name)
+    return gone
