@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leasegrid.operators import html_units, lists, payloads, walk
-from leasegrid.plans.tables import table
+from leasegrid.plans.tables import table, tasks
 
 ALL: dict = {}
 #: Order and line number are no key of the line items: what an order's lines are sorted by, in full.
@@ -103,7 +103,7 @@ def generic_body(u: Column) -> Column:
 
 def orders(spark, d) -> DataFrame:
     """(payload_id, u): the lines of each order, in order of ORDERED; an order holds a few."""
-    u = unit_lines(spark, d)
+    u = unit_lines(spark, d).repartition(tasks(spark), "payload_id")
     return u.groupBy("payload_id").agg(F.sort_array(F.collect_list(F.struct(*ORDERED))).alias("u"))
 
 

@@ -10,6 +10,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tasks(spark: SparkSession) -> int:
+    """How many tasks heavy work on few bytes should have: Spark would size its partitions by bytes alone."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df in as many partitions as there are cores, if its files have fewer splits; for scans before heavy work on texts."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as properties: (id, name, city, state, status, balance). Nation and region are fixed, small tables."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
