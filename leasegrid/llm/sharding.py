@@ -6,9 +6,13 @@ target-sized files. Each change is a new manifest version, written aside and put
 exists; readers of older versions are not disturbed, and a writer that dies or comes second leaves only files that no manifest
 names. That rename is atomic on HDFS and local disks; object stores that copy instead need a committer of their own.
 
+A manifest has for each run its files with their sizes, its rows and its schema, so that a partial loss shows (`lost`).
+
 Defined results: every row of every arrival is in exactly one live shard; null arrivals are one arrival, which is not that of the
 text "null"; an empty table makes no run; rows may repeat; texts may be empty or of any length; columns may have any name, as
-what `read` says about a row stands beside it in columns of its own, the row being a struct.
+what `read` says about a row stands beside it in columns of its own, the row being a struct. Runs may have unlike columns: a row has
+all columns of the version, null where its arrival had none, before compaction and after it. An arrival that gives a column (whatever
+the case of its name) another type than live runs do is refused before anything is written.
 """
 
 from __future__ import annotations
@@ -16,10 +20,12 @@ from __future__ import annotations
 import json
 import math
 import uuid
+from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 
 @dataclass(frozen=True)
@@ -27,7 +33,36 @@ class Run:
     number: int
     tier: int
     bytes: int
+    rows: int
     path: str
+    schema: str
+    files: tuple[tuple[str, int], ...]
+
+
+def _schema(run: Run) -> StructType:
+    return StructType.fromJson(json.loads(run.schema))
+
+
+def merged_schema(schemas: Iterable[StructType]) -> StructType:
+    """All columns of the schemas, nullable, in order of first sight; one of two types raises."""
+    found: dict[str, StructField] = {}
+    for schema in schemas:
+        for f in schema:
+            kind = _nullable(f.dataType)
+            if (have := found.setdefault(f.name.lower(), StructField(f.name, kind))).dataType != kind:
+                raise ValueError(f"column {f.name} is {kind.simpleString()}, but {have.dataType.simpleString()} in what is stored")
+    return StructType(list(found.values()))
+
+
+def _nullable(kind: DataType) -> DataType:
+    """The type with nulls allowed at any depth, so that types compare by what they hold."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _nullable(f.dataType)) for f in kind])
+    if isinstance(kind, ArrayType):
+        return ArrayType(_nullable(kind.elementType))
+    if isinstance(kind, MapType):
+        return MapType(_nullable(kind.keyType), _nullable(kind.valueType))
+    return kind
 
 
 class ShardStore:
@@ -45,9 +80,16 @@ class ShardStore:
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         return jvm, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _bytes(self, path: str) -> int:
+    def _files(self, path: str) -> tuple[tuple[str, int], ...]:
+        """(name, bytes) of the files of a run that are there."""
         jvm, fs = self._fs()
-        return sum(s.getLen() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(path)) if s.getPath().getName().startswith("part-"))
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        return tuple(sorted((s.getPath().getName(), s.getLen()) for s in fs.listStatus(at) if s.getPath().getName().startswith("part-"))) if fs.exists(at) else ()
+
+    def _run(self, number: int, path: str, rows: int, schema: StructType) -> Run:
+        files = self._files(path)
+        size = sum(n for _, n in files)
+        return Run(number, self.tier(size), size, rows, path, schema.json(), files)
 
     def versions(self) -> list[int]:
         jvm, fs = self._fs()
@@ -66,7 +108,12 @@ class ShardStore:
             lines = bytes(file.readAllBytes()).decode().splitlines()
         finally:
             file.close()
-        return sorted((Run(**json.loads(x)) for x in lines), key=lambda r: r.number)
+        found = [json.loads(x) for x in lines]
+        return sorted((Run(**{**x, "files": tuple((n, size) for n, size in x["files"])}) for x in found), key=lambda r: r.number)
+
+    def lost(self, version: int | None = None) -> list[str]:
+        """Files that a version names and that are gone or of another size."""
+        return [f"{r.path}/{name}" for r in self.runs(version) for there in [dict(self._files(r.path))] for name, size in r.files if there.get(name) != size]
 
     def commit(self, runs: list[Run], version: int) -> None:
         """Puts a version in place; raises if another writer was first."""
@@ -89,6 +136,8 @@ class ShardStore:
 
     def append(self, df: DataFrame, arrival: Column | None = None) -> None:
         """Appends df as one run, or one for each value of `arrival`, in one pass over it and as one version."""
+        live, have = self.runs(), self.versions()
+        merged_schema([*map(_schema, live), df.schema])
         place = f"{self.root}/data/{uuid.uuid4().hex}"
         key = F.lit("all") if arrival is None else F.coalesce(F.sha2(arrival.cast("string"), 256), F.lit("null"))
         name = "arrival"
@@ -99,10 +148,10 @@ class ShardStore:
         found = sorted(s.getPath().toString() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(place)) if s.isDirectory())
         if not found:
             return
-        live, have = self.runs(), self.versions()
         first = max((r.number for r in live), default=-1) + 1
-        sizes = [self._bytes(path) for path in found]
-        made = [Run(first + i, self.tier(size), size, path) for i, (size, path) in enumerate(zip(sizes, found, strict=True))]
+        # One job for all arrivals, over the footers of their files.
+        rows = dict(self.spark.read.schema(f"`{name}` string").parquet(place).groupBy(name).count().collect())
+        made = [self._run(first + i, path, rows[path.rpartition("=")[2]], df.schema) for i, path in enumerate(found)]
         self.commit([*live, *made], (have[-1] if have else 0) + 1)
 
     def compact(self) -> int:
@@ -117,19 +166,22 @@ class ShardStore:
             if not full:
                 return merges
             old = full[0]
-            size = sum(r.bytes for r in old)
             place = f"{self.root}/data/{uuid.uuid4().hex}"
-            files = max(1, math.ceil(size / self.target))
-            self.spark.read.parquet(*[r.path for r in old]).coalesce(files).write.parquet(place)
-            made = Run(max(r.number for r in live) + 1, max(self.tier(self._bytes(place)), old[0].tier + 1), self._bytes(place), place)
+            files = max(1, math.ceil(sum(r.bytes for r in old) / self.target))
+            schema = merged_schema(map(_schema, old))
+            self.spark.read.schema(schema).parquet(*[r.path for r in old]).coalesce(files).write.parquet(place)
+            # Its tier is that of its size, so equal tiers are of similar size; each merge leaves fewer runs, so this ends.
+            made = self._run(max(r.number for r in live) + 1, place, sum(r.rows for r in old), schema)
             self.commit([r for r in live if r not in old] + [made], have[-1] + 1)
             merges += 1
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """(row, run, tier, shard) of each row of a version; shard is the number of the file in its run. None if there are no runs."""
+        runs = self.runs(version)
+        schema = merged_schema(map(_schema, runs))
         parts = [
-            self.spark.read.parquet(r.path).select(F.struct("*").alias("row"), F.lit(r.number).alias("run"), F.lit(r.tier).alias("tier"), F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("shard"))
-            for r in self.runs(version)
+            self.spark.read.schema(schema).parquet(r.path).select(F.struct("*").alias("row"), F.lit(r.number).alias("run"), F.lit(r.tier).alias("tier"), F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("shard"))
+            for r in runs
         ]
         out = None
         for part in parts:

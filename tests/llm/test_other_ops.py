@@ -204,6 +204,34 @@ def test_shards_hold_every_row_once_and_versions_are_atomic(spark):
     assert len(store.runs()) == have + 2
 
 
+def test_shards_of_unlike_columns_keep_them_all(spark):
+    store = sharding.ShardStore(spark, f"{shared_dir(spark)}/test-shards-{random.random()}", fan=2)
+    store.append(spark.createDataFrame([(1, "a")], "id long, text string"))
+    store.append(spark.createDataFrame([("b", 2.5, 2, ["x"])], "Text string, score double, id long, tags array<string>"))
+    with pytest.raises(ValueError, match="SCORE is string, but double"):
+        store.append(spark.createDataFrame([("no",)], "SCORE string"))
+    assert len(store.versions()) == 2
+    want = [(1, "a", None, None), (2, "b", 2.5, ["x"])]
+    rows = lambda: sorted(map(tuple, store.read().select("row.id", "row.text", "row.score", "row.tags").collect()))
+    assert rows() == want and store.compact() == 1 and rows() == want and store.vacuum() == 2 and rows() == want
+    # A third arrival of an old column meets the merged run.
+    store.append(spark.createDataFrame([(3,)], "id int").select(F.col("id").cast("long")))
+    assert store.compact() == 1 and rows() == [*want, (3, None, None, None)] and [r.rows for r in store.runs()] == [3]
+
+
+def test_tiers_follow_size_and_lost_files_show(spark):
+    store = sharding.ShardStore(spark, f"{shared_dir(spark)}/test-shards-{random.random()}", base_bytes=4000, fan=4)
+    store.append(spark.range(16).select(F.col("id"), F.lit("x").alias("t")), F.col("id"))
+    assert store.compact() == 5 and [(r.tier, r.rows) for r in store.runs()] == [(0, 16)]
+    store.append(spark.createDataFrame([(1, "".join(random.Random(1).choices("abcdefghij", k=200_000)))], "id long, t string"))
+    assert sorted(r.tier for r in store.runs()) == [0, 2] and store.compact() == 0
+    run = store.runs()[-1]
+    assert store.lost() == [] and sum(n for _, n in run.files) == run.bytes
+    jvm, fs = store._fs()
+    fs.delete(jvm.org.apache.hadoop.fs.Path(f"{run.path}/{run.files[0][0]}"), False)
+    assert store.lost() == [f"{run.path}/{run.files[0][0]}"]
+
+
 def test_sharding_query_on_documents_with_clashing_columns(spark, tmp_path):
     rows = [(i, f"text {i}", "x", 1, 2, "a") for i in range(50)]
     spark.createDataFrame(rows, "doc_id long, text string, run string, tier int, shard int, arrival string").write.parquet(f"{tmp_path}/documents.parquet")
