@@ -5,7 +5,7 @@ is copied to each other cell whose members can lie within r: by the triangle ine
 and, sharper, those whose dividing plane is within r of x. Every link of a vector is then found in its home cell, so cells join
 independently and each counts the links of its own members only. Equal vectors are made one row first. Cells are cut into
 tiles of bounded size; a tile gives link counts and a spanning forest, never its pairs. Vectors of different length have no
-cosine: each length has pivots and cells of its own, and the length is part of a cell's key.
+cosine: each length has pivots and cells of its own, eight cells at least, and the length is part of a cell's key.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components link with nothing; a null id gets 0
 links, a null component and kept = false; each row is a vector of its own, so rows that repeat an id with the same vector link
@@ -26,6 +26,8 @@ from leasegrid.llm.shared import connected, discard, join_hot, written
 from leasegrid.llm.vectors import by_length, matrix, mixed, pivots, spans, unit, usable
 
 HOMES, MEMBERS = 4096, 8192
+#: The least number of cells; a length with fewer vectors is one cell.
+CELLS = 8
 SLACK = 1e-9
 FAR = np.iinfo(np.int64).max
 
@@ -159,8 +161,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     lengths = reps.groupBy(F.size("vec").alias("length")).agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w")).collect()
     cells = {}
     for r in lengths:
-        if r["n"] > cell_rows:
-            p = pivots(vecs, "node", "vec", min(most_pivots, -(-r["n"] // cell_rows)), r["length"])
+        if r["n"] >= CELLS:
+            p = pivots(vecs, "node", "vec", min(most_pivots, max(CELLS, -(-r["n"] // cell_rows))), r["length"])
             cells[r["length"]] = p, np.sqrt(np.maximum(2 - 2 * (p @ p.T), 0))
     # A row for each pivot comes back.
     blocks = {r["length"]: np.ones((len(cells[r["length"]][0]) if r["length"] in cells else 1, 2), dtype=np.int64) for r in lengths}
