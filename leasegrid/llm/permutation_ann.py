@@ -12,7 +12,8 @@ meets them is taken. So vectors with structure are searched in few small files,
 as they need. Pivots and these queries are the only sample: all rows are indexed.
 
 A query that found fewer than `top` rows though there are more is searched again, exactly, against all rows in blocks. Vectors of
-different length have no product: each length is indexed on its own, lengths with fewer than INDEXED rows are compared whole.
+different length have no product: each length is indexed on its own, lengths with fewer than INDEXED rows are compared whole. Where
+the sample's neighbours can't be met in the files that orders keep, a length is searched whole, too; the share met is logged.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, or have a null id, take no part; equal
 scores are ordered by id; rows with the query's own id are no candidates; a query gets min(top, other ids of its length) rows; a
@@ -22,6 +23,7 @@ columns are read.
 
 from __future__ import annotations
 
+import logging
 import math
 from dataclasses import dataclass, replace
 
@@ -36,6 +38,7 @@ from leasegrid.llm.vectors import by_length, matrix, mixed, pivots, spans, unit,
 
 BLOCK, QUERIES = 16_384, 2_048
 INDEXED = 64
+LOG = logging.getLogger(__name__)
 #: Longest part of an order that is kept, and how much of a query's the footrule reads.
 KEPT, DEPTH = 64, 32
 FOUND = "query_id long, length int, vec_id long, score double"
@@ -111,7 +114,10 @@ def fit_index(rows: DataFrame, length: int, n: int, top: int, aim: float, sample
     at = lambda values, share: int(np.sort(values)[min(len(values) - 1, math.ceil(share * len(values)) - 1)])
     files = min(at(meet, (1 + aim) / 2), own.shape[1])
     met = foot[meet <= files]
-    return replace(index, files=files, cut=at(met, min(1.0, aim * len(meet) / len(met))))
+    fitted = replace(index, files=files, cut=at(met, min(1.0, aim * len(meet) / len(met)))) if len(met) else index
+    share = float(((meet <= fitted.files) & (foot <= fitted.cut)).mean())
+    LOG.info("length %d: %d of %d files and footrule %d meet %.3f of the sample's neighbours", length, fitted.files, len(p), fitted.cut, share)
+    return fitted if share >= min(aim, 1.0) else Index(None, 1, 0, np.ones((1, 2), dtype=np.int64))
 
 
 def _dealt(rows: DataFrame, indexes: dict[int, Index], count: bool) -> DataFrame:

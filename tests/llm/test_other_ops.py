@@ -176,6 +176,15 @@ def test_components_equal_closure(spark):
     assert sorted((r[0], r[1]) for r in got) == sorted((x, low[x]) for x in linked)
 
 
+def test_an_index_that_misses_its_aim_gives_way_to_the_whole_search(spark, monkeypatch, caplog):
+    rng = np.random.default_rng(21)
+    rows = [(i, rng.normal(size=16).tolist()) for i in range(600)]
+    monkeypatch.setattr(permutation_ann, "KEPT", 1)
+    with caplog.at_level("INFO"):
+        got = permutation_ann.search(frame(spark, rows), F.col("vec_id") % 20 == 0, top=20).collect()
+    assert recall(got, neighbours(rows, set(range(0, 600, 20)), 20)) == 1.0 and "of the sample's neighbours" in caplog.text
+
+
 def test_shards_hold_every_row_once_and_versions_are_atomic(spark):
     rows = [(i if i % 9 else None, "text %d" % i * (i % 50), i % 8, "r", i, None) for i in range(400)] + [(1, "again", 0, "r", 1, "all")] * 5
     rows += [(500, None, 1, None, None, None), (501, "", 1, None, None, None), (502, "long " * 200_000, 1, None, None, None)]
