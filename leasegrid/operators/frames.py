@@ -5,6 +5,8 @@ Each takes and returns DataFrames and states its keys and a total order as param
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -177,3 +179,24 @@ def migrate_profiles(df: DataFrame) -> DataFrame:
         "version": F.lit(2),
     }
     return seen.withColumns(made).drop("cluster_id", "provider", "_url", "_none")
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """df as it is now, written to the checkpoint folder (spark.checkpoint.dir) that the cluster shares; local sessions get one of their own."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="leasegrid-"))
+    return df.checkpoint()
+
+
+def placed(df: DataFrame, name: str, *order: Column) -> DataFrame:
+    """df with each row's place in the order, from 1: rows are counted inside the parts of one sort, and parts get what lies before them."""
+    # Another run of the sort could draw other parts.
+    parts = durable(df.orderBy(*order).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")))
+    # A row for each part of the sort.
+    own = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    moves = own.select("_part", (before - F.col("_first") + 1).alias("_move"))
+    return parts.join(F.broadcast(moves), "_part").select(*df.columns, (F.col("_at") + F.col("_move")).alias(name))

@@ -39,6 +39,7 @@ class _Containers(HTMLParser):
     def __init__(self) -> None:
         super().__init__()
         self.found: list[tuple[int, list[str]]] = []
+        self._size: list[int] = []
         self._open: list[tuple[str, list[int]]] = []
 
     def handle_starttag(self, tag, attrs):
@@ -51,6 +52,7 @@ class _Containers(HTMLParser):
             if selector in signs:
                 mine.append(len(self.found))
                 self.found.append((at, []))
+                self._size.append(0)
         self._open.append((tag, mine))
 
     def handle_endtag(self, tag):
@@ -62,7 +64,10 @@ class _Containers(HTMLParser):
         if (text := data.strip()) and not (self._open and self._open[-1][0] in ("script", "style")):
             for _, mine in self._open:
                 for i in mine:
-                    self.found[i][1].append(text)
+                    # What is too long to be read stays too long; more text makes nested pages cost the square of their depth.
+                    if self._size[i] <= TEXT_MOST:
+                        self.found[i][1].append(text)
+                        self._size[i] += len(text) + 1
 
 
 def containers(pages: DataFrame) -> DataFrame:
@@ -106,7 +111,7 @@ def jsonld_nodes(pages: DataFrame) -> DataFrame:
     """(page_id, node VARIANT) of every object that has @type in a page's JSON-LD blocks, however deep it is nested."""
     block = r'(?is)<script[^>]*type\s*=\s*["\']application/ld\+json["\'][^>]*>(.*?)</script>'
     texts = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(block), F.lit(1))).alias("_raw"))
-    return walk.every_node(texts, "_raw").where(F.try_variant_get("node", "$['@type']", "variant").isNotNull())
+    return walk.every_node(texts, "_raw", wanted=lambda x: isinstance(x, dict) and x.get("@type") is not None)
 
 
 def jsonld_units(pages: DataFrame) -> DataFrame:

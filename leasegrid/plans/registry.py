@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from leasegrid.plans import analytics, extracting, more, page_queries, payload_queries, property_api, records, rules, scalars, state, store_queries, template_queries, whole_rules
+from leasegrid.plans import analytics, extracting, more, outcome_queries, page_queries, payload_queries, property_api, records, rules, scalars, state, store_queries, template_queries, whole_rules
 
 FLAGSHIP = "q_a08_stats"
-MODULES = (property_api, analytics, state, scalars, extracting, more, payload_queries, template_queries, page_queries, store_queries, rules, records, whole_rules)
+MODULES = (property_api, analytics, state, scalars, extracting, more, payload_queries, template_queries, page_queries, store_queries, outcome_queries, rules, records, whole_rules)
 
 
 def merged(modules) -> dict:

@@ -28,20 +28,19 @@ def website(spark, d):
     return table(spark, d, "pages").select("page_id", v.website_fingerprint(F.col("url")).alias("fp"))
 
 
-@query("q_f01_address", r"SELECT doc_id, trim(regexp_replace(regexp_replace(lower(left(text, 80)), '[^\p{L}\p{N}\p{M}_]+', ' ', 'g'), ' +', ' ', 'g')) AS address FROM documents WHERE lang = 'de'")
-def address(spark, d):
-    return table(spark, d, "documents").where("lang = 'de'").select("doc_id", v.address(F.substring("text", 1, 80)).alias("address"))
-
-
 _STREET = """MAP {'street': 'st', 'avenue': 'ave', 'av': 'ave', 'boulevard': 'blvd', 'road': 'rd', 'drive': 'dr', 'lane': 'ln', 'court': 'ct', 'place': 'pl',
   'terrace': 'ter', 'parkway': 'pkwy', 'highway': 'hwy', 'circle': 'cir', 'square': 'sq', 'north': 'n', 'south': 's', 'east': 'e', 'west': 'w',
   'northeast': 'ne', 'northwest': 'nw', 'southeast': 'se', 'southwest': 'sw', 'apartment': 'apt', 'suite': 'ste', 'floor': 'fl'}"""
 
 
-@query("q_f01_address_whole", rf"""SELECT doc_id, array_to_string(list_transform(list_filter(string_split(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}\p{{M}}_]+', ' ', 'g'), ' '), lambda w: w <> ''),
-  lambda w: coalesce({_STREET}[w], w)), ' ') AS address FROM documents""")
+_WHOLE = rf"""SELECT doc_id, array_to_string(list_transform(list_filter(string_split(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}\p{{M}}_]+', ' ', 'g'), ' '), lambda w: w <> ''),
+  lambda w: coalesce({_STREET}[w], w)), ' ') AS address FROM documents"""
+
+
+@query("q_f01_address", _WHOLE)
+@query("q_f01_address_whole", _WHOLE)
 def address_whole(spark, d):
-    """Every whole text; q_f01_address takes 80 characters of the German ones."""
+    """Every whole text, under either name."""
     return table(spark, d, "documents").select("doc_id", v.address(F.col("text")).alias("address"))
 
 

@@ -122,11 +122,12 @@ def distinct_ordered(spark, d):
     return first.groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "role"))), lambda x: x["role"]), ",").alias("roles"))
 
 
-@query("q_a26_duplicates", f"""WITH {PROPERTIES}, k AS (SELECT id, state || '|' || status AS place, CASE WHEN id % 10 = 0 THEN '' ELSE left(name, 12) END AS web FROM props)
+@query("q_a26_duplicates", f"""WITH {PROPERTIES}, k AS (SELECT id, state || '|' || status AS place, CASE WHEN id % 10 = 0 THEN '' ELSE regexp_replace(name, '[1-9]', '', 'g') END AS web FROM props)
 SELECT 'place' AS kind, place AS value, count(DISTINCT id) AS n_ids, count(*) AS n_rows FROM k GROUP BY place HAVING count(DISTINCT id) > 1
 UNION ALL SELECT 'web', web, count(DISTINCT id), count(*) FROM k WHERE web <> '' GROUP BY web HAVING count(DISTINCT id) > 1""")
 def duplicates(spark, d):
-    k = properties(spark, d).select("id", F.concat_ws("|", "state", "status").alias("place"), F.when(F.col("id") % 10 == 0, "").otherwise(F.substring("name", 1, 12)).alias("web"))
+    """Names are read whole; without their digits but 0 some of them are the same."""
+    k = properties(spark, d).select("id", F.concat_ws("|", "state", "status").alias("place"), F.when(F.col("id") % 10 == 0, "").otherwise(F.regexp_replace("name", "[1-9]", "")).alias("web"))
     return frames.duplicates(k, "id", ["place", "web"])
 
 

@@ -151,3 +151,24 @@ def test_units_anywhere(spark):
     assert sorted(map(tuple, walk.walked_units(df).collect()), key=repr) == sorted([
         (1, "A", None, None, None, None), (1, "7", 1200.5, "AVAILABLE", 700, None), (1, "B", 0.0, "UNAVAILABLE", None, "1x1"), (5, "solo", None, "AVAILABLE", None, None),
     ], key=repr)
+
+
+def test_deep_texts_make_no_longer_plans(spark):
+    deep = '{"unit": "end", "rent": 5}'
+    for k in range(500):
+        deep = '{"a": ' + deep + "}" if k % 2 else "[" + deep + ", 1]"
+    df = spark.range(2000).selectExpr("id AS payload_id", "concat('{\"unit\": \"u', id, '\", \"rent\": 7}') AS body")
+    both = df.unionByName(spark.createDataFrame([(-1, deep), (-2, "[" * 100_000), (-3, '{"unit": 1, "unit": 2}')], "payload_id long, body string"))
+    plan = lambda x: len(walk.walked_units(x)._jdf.queryExecution().toString())
+    assert plan(both) < plan(df) + 2000
+    got = walk.walked_units(both)
+    assert got.count() == 2001 and [r["unit_number"] for r in got.where("payload_id < 0").collect()] == ["end"]
+
+
+def test_values_that_are_kept_are_not_written_on_every_level(spark):
+    nested = '{"unit": "x", "next": null}'
+    for k in range(300):
+        nested = f'{{"unit": "{k}", "next": {nested}}}'
+    df = spark.createDataFrame([(1, nested)], "payload_id long, body string")
+    sizes = walk.every_node(df, "body", wanted=lambda x: isinstance(x, dict)).selectExpr("length(to_json(node)) AS n").collect()
+    assert len(sizes) == 301 and max(r["n"] for r in sizes) < 200
