@@ -49,15 +49,15 @@ def retries(spark, d):
     return read.select("event_id", outcomes.retry(F.col("outcome"), F.col("attempt"), F.col("after"), F.col("event_id")).alias("r")).select("event_id", "r.*")
 
 
-@query("q_v06_records", """WITH u AS (SELECT l_suppkey AS property, l_orderkey || '-' || l_linenumber || '-' || l_partkey AS unit_id, floor(l_extendedprice)::BIGINT AS rent, (l_quantity - 3)::BIGINT AS area, l_returnflag AS plan, l_discount AS part FROM lineitem),
+@query("q_v06_records", """WITH u AS (SELECT l_suppkey AS property, concat_ws('-', l_orderkey, l_linenumber, l_partkey, floor(l_extendedprice)::BIGINT, l_quantity::BIGINT, round(l_discount * 100)::BIGINT, l_returnflag) AS unit_id, floor(l_extendedprice)::BIGINT AS rent, (l_quantity - 3)::BIGINT AS area, l_returnflag AS plan, l_discount AS part FROM lineitem),
 v AS (SELECT *, rent > 50000 AS absurd, area < 0 AS negative FROM u),
 s AS (SELECT *, NOT absurd AND NOT negative AS fine, part * 10 > 0.5 AS dear FROM v)
 SELECT property, unit_id, CASE WHEN NOT fine THEN 'rejected' WHEN dear THEN 'flagged' ELSE 'accepted' END AS status, concat_ws(',', CASE WHEN absurd THEN 'INVALID_RENT_ABSURD' END, CASE WHEN negative THEN 'INVALID_SQFT_NEGATIVE' END) AS reasons,
 CASE WHEN fine AND dear THEN 'rent_swing_>50pct' ELSE '' END AS flags, sum((NOT fine)::INT) OVER (PARTITION BY property) / count(*) OVER (PARTITION BY property) > 0.5 AS next_tier FROM s""")
 def checked(spark, d):
-    """Line items as units of suppliers; what was known of dear ones is half their rent."""
+    """Line items as units of suppliers, named by all that counts; what was known of dear ones is half their rent."""
     u = table(spark, d, "lineitem").select(
-        F.col("l_suppkey").alias("property"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("unit_id"), F.floor("l_extendedprice").alias("rent"), (F.col("l_quantity") - 3).cast("bigint").alias("sqft"),
+        F.col("l_suppkey").alias("property"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", F.floor("l_extendedprice"), F.col("l_quantity").cast("bigint"), F.round(F.col("l_discount") * 100).cast("bigint"), "l_returnflag").alias("unit_id"), F.floor("l_extendedprice").alias("rent"), (F.col("l_quantity") - 3).cast("bigint").alias("sqft"),
         F.col("l_returnflag").alias("floor_plan_name"), (F.col("l_discount") * 10 > 0.5).alias("dear"),
     )
     rent = F.when(F.col("dear"), F.col("rent") / 2).otherwise(F.col("rent")).cast("double")
