@@ -3,10 +3,13 @@
 import functools
 import hashlib
 import random
+import re
+import struct
 import zlib
 from collections import defaultdict
 
 import pytest
+import xxhash
 
 from leasegrid.llm import conversation_repair, conversation_trie, order_minhash
 
@@ -225,3 +228,68 @@ def test_trie_of_a_deep_conversation_and_of_none(spark):
     assert conversation_trie.trie_of_rebuilt(df.limit(0)).count() == 0
     one = conversation_trie.trie_of_rebuilt(df.where("conv_id = 7 and turn = 0")).select(*NODE).collect()
     assert sorted(map(tuple, one), key=repr) == trie_by_force([(7, 0, "user", "q")])
+
+
+def signed(x):
+    return x - (1 << 64) if x >= 1 << 63 else x
+
+
+def chained(parts):
+    """Spark's xxhash64 of values given as bytes: each is hashed with the hash so far as its seed."""
+    h = 42
+    for p in parts:
+        h = xxhash.xxh64_intdigest(p, seed=h)
+    return signed(h)
+
+
+def print_by_force(text, k, take, sketches):
+    """Each sketch: the `take` numbered k-mers whose ranks come next after its point on the ring, in text order."""
+    long, bits = lambda x: struct.pack("<q", x), order_minhash.BITS
+    words = [signed(xxhash.xxh64_intdigest(w.encode(), seed=42)) for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    seen, ranks = defaultdict(int), []
+    for i in range(max(len(words) - k, 0) + 1):
+        name = chained(map(long, words[i : i + k])) >> bits
+        ranks.append((chained([long(name), struct.pack("<i", seen[name])]) >> bits, i))
+        seen[name] += 1
+    out = []
+    for j in range(sketches):
+        point = (-(1 << 63) + ((1 << 64) * j // sketches)) >> bits
+        near = sorted(ranks, key=lambda r: ((r[0] - point) % (1 << 64 - bits), r[1]))
+        taken = sorted((near[t % len(near)] for t in range(take)), key=lambda r: (r[1], r[0] % (1 << 36)))
+        out.append(f"{chained(long(r % (1 << 36)) for r, _ in taken) % (1 << 16):04x}")
+    return "".join(out)
+
+
+@pytest.mark.parametrize("k,take,sketches", [(5, 2, 64), (1, 3, 7)])
+def test_fingerprints_equal_brute_force(spark, k, take, sketches):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("the of and to in üb ß 火".split()) + str(rng.randrange(9)) for _ in range(rng.randrange(80))) for _ in range(40)]
+    texts += [None, "", " \n\t", "one", "one two", "x " * 3000, "a  b\nc\td e f", "a b c d e f", "same line here\n" * 30, "🙂🙂🙂🙂🙂"]
+    rows = [(i * 3 - 20, t) for i, t in enumerate(texts)] + [(None, "no id but words"), (7_000_000_000, texts[0]), (7_000_000_000, texts[0]), (7_000_000_001, texts[0])]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "doc_id long, text string, id string, head string").repartition(4)
+    got = order_minhash.compare_edited(df, k=k, take=take, sketches=sketches).collect()
+    known = {i: t or "" for i, t in rows if i is not None}
+    after = dict(zip(sorted(known), [*sorted(known)[1:], min(known)], strict=True))
+    want = []
+    for i, t in rows:
+        t = t or ""
+        head = known[after[i]] if i is not None else ""
+        edited = t[: len(t) - len(t) // 2] + head[: len(t) // 2]
+        own, other, following = (print_by_force(x, k, take, sketches) for x in (t, edited, head))
+        like = lambda a, b: sum(a[j : j + 4] == b[j : j + 4] for j in range(0, len(a), 4)) / sketches
+        want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest(), own, other, like(own, other), like(own, following) if i is not None else 0.0))
+    names = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    assert sorted((tuple(r[n] for n in names) for r in got), key=repr) == sorted(want, key=repr)
+    assert order_minhash.compare_edited(df.limit(0)).count() == 0
+
+
+def test_likeness_follows_edits_and_order(spark):
+    rng = random.Random(10)
+    words = [f"w{rng.randrange(5000)}" for _ in range(600)]
+    variants = {"same": words, "one edit": [*words[:300], "new", *words[301:]], "tenth": [w if i % 50 >= 5 else "z" + w for i, w in enumerate(words)], "turned": words[300:] + words[:300], "other": [f"v{i}" for i in range(600)]}
+    df = spark.createDataFrame([(n, " ".join(w)) for n, w in variants.items()], "n string, t string")
+    prints = {r["n"]: bytes(r["p"]).hex() for r in order_minhash.sketched(df, {"p": "t"}, sketches=512).collect()}
+    like = {n: sum(prints["same"][j : j + 4] == p[j : j + 4] for j in range(0, 2048, 4)) / 512 for n, p in prints.items()}
+    assert like["same"] == 1 and like["one edit"] > 0.9 > like["tenth"] > 0.4 and like["other"] == 0
+    # The same k-mers in another order: a set of them would hardly tell the two apart.
+    assert 0.3 < like["turned"] < 0.7
