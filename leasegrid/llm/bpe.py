@@ -6,7 +6,7 @@ border alone, and is kept. Since each prefix has its table entry, appended bytes
 edit costs the entries from its place to the piece's end; pieces before and after stay as they are.
 
 Defined results: a null or empty text has no tokens; repeated rows repeat; bytes that the decoder gets need not be valid UTF-8;
-only the id and text columns are read.
+only the id and text columns are read. A vocabulary that lacks a byte, or has a token of more than 255 bytes, raises.
 """
 
 from __future__ import annotations

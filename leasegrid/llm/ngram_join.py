@@ -1,6 +1,6 @@
 """N-gram Jaccard join: which documents share at least `percent` % of their distinct word n-grams.
 
-1. Every text becomes a sorted array of 64-bit n-gram hashes; a 128-bit digest of it makes equal sets one.
+1. Every text becomes a sorted array of 64-bit n-gram hashes; 64 bits of a digest of it make equal sets one, all 128 find its text again.
 2. n-grams in a large share of all documents (counted over all of them) are put last in the order that picks each set's prefix,
    so passages that many documents share rarely become keys. Any one order is exact: sets of the wanted similarity share a key
    of their prefixes.
