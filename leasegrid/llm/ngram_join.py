@@ -35,6 +35,8 @@ HEAVY_CHUNK = 4_000_000
 #: Most n-grams that count as frequent; the most frequent ones.
 HEAVY = 1 << 20
 BLOCK = 512
+#: Pairs of sets that are looked at together.
+PAIRS = 1 << 18
 #: Partners that a set is first tried with.
 FIRST = 3
 M = np.uint64(0x9E3779B97F4A7C15)
@@ -249,52 +251,91 @@ def _bounded(percent: int):
     return passed
 
 
-def _tile_pairs(ids, n, comp, side, bits, percent: int, nearest: int | None) -> list:
-    """Pairs of one tile that may link, by sizes and bit counts. side: 0 left, 1 right, 2 both. The smaller set is on the left.
-
+def _differing(own: np.ndarray, first: np.ndarray, bits):
+    """A function of index arrays u, v into `own` that counts the bits in which two sets' bitmaps differ, folded to the narrower."""
+    bits = bits.take(pa.array(first))
+    width = pc.binary_length(bits).to_numpy().astype(np.int64)
+    held, spot = {}, np.empty(len(own), np.int64)
+    for w in np.unique(width).tolist():
+        rows = np.flatnonzero(width == w)
+        spot[rows] = np.arange(len(rows))
+        held[w] = np.frombuffer(b"".join(bits.take(pa.array(rows)).to_pylist()), np.uint8).reshape(-1, w)
+
+    def differ(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        out = np.empty(len(u), np.int64)
+        kinds = width[u] * (1 << 32) + width[v]
+        for kind in np.unique(kinds).tolist():
+            of = np.flatnonzero(kinds == kind)
+            wu, wv = kind >> 32, kind & (1 << 32) - 1
+            low = min(wu, wv)
+            x, y = fold(held[wu], low).view(np.uint64), fold(held[wv], low).view(np.uint64)
+            step = max(1, (4 << 20) // low)
+            for k in range(0, len(of), step):
+                at = of[k : k + step]
+                out[at] = np.bitwise_count(x[spot[u[at]]] ^ y[spot[v[at]]]).sum(axis=1, dtype=np.int64)
+        return out
+
+    return differ
+
+
+def _tile_pairs(tile, ids, n, comp, side, bits, percent: int, nearest: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of sets that may link, by sizes and bit counts, of all given tiles at once.
+
+    tile: each row's tile as an ascending number from 0. side: 0 left, 1 right, 2 both. The smaller set is on the left.
     With `nearest`, each left row gives only its so many closest partners by bit count: the cheap round that comes first.
     """
-    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    na, nb = n[left][:, None], n[right][None, :]
-    near = ((na < nb) | ((na == nb) & (ids[left][:, None] < ids[right][None, :]))) & (100 * na >= percent * nb) & (comp[left][:, None] != comp[right][None, :])
-    i, j = np.nonzero(near)
-    if not len(i):
-        return []
-    i, j = left[i], right[j]
-    width = np.array([len(x) for x in bits])
-    differ = np.empty(len(i), dtype=np.int64)
-    # Bitmaps of one pair of widths at a time, folded to the narrower.
-    kinds = width[i] * (1 << 32) + width[j]
-    for kind in np.unique(kinds):
-        own = np.flatnonzero(kinds == kind)
-        low = int(min(width[i[own[0]]], width[j[own[0]]]))
-        rows, spot = np.unique(np.concatenate([i[own], j[own]]), return_inverse=True)
-        held = np.stack([fold(np.frombuffer(bits[r], np.uint8), low) for r in rows]).view(np.uint64)
-        for k in range(0, len(own), 65_536):
-            x, y = spot[: len(own)][k : k + 65_536], spot[len(own) :][k : k + 65_536]
-            differ[own[k : k + 65_536]] = np.bitwise_count(held[x] ^ held[y]).sum(axis=1, dtype=np.int64)
-    ok = (n[i] + n[j] - differ) // 2 >= least_shared(n[i] + n[j], percent)
-    i, j, differ = i[ok], j[ok], differ[ok]
-    if nearest is not None and len(i):
-        order = np.lexsort((ids[j], differ, i))
-        i, j = i[order], j[order]
-        start = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]]))
-        keep = np.arange(len(i)) - np.repeat(start, np.diff(np.append(start, len(i)))) < nearest
-        i, j = i[keep], j[keep]
-    return list(zip(ids[i].tolist(), ids[j].tolist(), strict=True))
+    # By size within tiles, a row's possible partners are the rows that follow it up to the largest size it can link with.
+    order = np.lexsort((ids, n, tile))
+    tile, ids, n, comp, side = tile[order], ids[order], n[order], comp[order], side[order]
+    most = 100 * n // percent
+    far = int(most.max()) + 1
+    partners = np.searchsorted(tile * far + n, tile * far + most, side="right") - np.arange(len(n)) - 1
+    own, first, at = np.unique(ids, return_index=True, return_inverse=True)
+    differing = _differing(own, order[first], bits)
+    size = n[first]
+    start = np.searchsorted(tile, np.arange(tile[-1] + 2))
+    upto = np.concatenate([[0], np.cumsum(partners)])[start]
+    found, t = [], 0
+    while t < len(start) - 1:
+        # Whole tiles of up to PAIRS pairs together; a single larger tile comes alone.
+        end = max(t + 1, int(np.searchsorted(upto, upto[t] + PAIRS, side="right")) - 1)
+        rows = np.arange(start[t], start[end])
+        many = partners[rows]
+        i = np.repeat(rows, many)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)
+        near = (comp[i] != comp[j]) & (side[i] != 1) & (side[j] != 0)
+        i, j, t = i[near], j[near], end
+        codes, back = np.unique(at[i] * len(own) + at[j], return_inverse=True)
+        u, v = codes // len(own), codes % len(own)
+        differ = differing(u, v)
+        ok = (size[u] + size[v] - differ) // 2 >= least_shared(size[u] + size[v], percent)
+        if nearest is not None:
+            i, j, differ, codes_of = i[ok[back]], j[ok[back]], differ[back][ok[back]], codes[back][ok[back]]
+            order = np.lexsort((ids[j], differ, i))
+            i = i[order]
+            new = np.concatenate([[True], i[1:] != i[:-1]])[: len(i)]
+            begun = np.flatnonzero(new)
+            found.append(codes_of[order][np.arange(len(i)) - np.repeat(begun, np.diff(np.append(begun, len(i)))) < nearest])
+        else:
+            found.append(codes[ok])
+    codes = np.unique(np.concatenate(found))
+    return own[codes // len(own)], own[codes % len(own)]
 
 
 def _tiled(percent: int, nearest: int | None):
     """Walks a partition sorted by tile; a tile (key, band, x, y) has a bounded number of rows."""
 
+    def starts(table):
+        tile = np.stack([table.column(c).to_numpy() for c in ("key", "band", "x", "y")])
+        return (tile[:, 1:] != tile[:, :-1]).any(axis=0)
+
     def pairs(batches):
         rest = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             rest = table if rest is None else pa.concat_tables([rest, table])
             if rest.num_rows >= 10_000:
-                tile = np.stack([rest.column(c).to_numpy() for c in ("key", "band", "x", "y")])
-                cut = np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(axis=0))
+                cut = np.flatnonzero(starts(rest))
                 if len(cut):
                     yield done(rest.slice(0, cut[-1] + 1))
                     rest = rest.slice(cut[-1] + 1)
@@ -302,14 +343,10 @@ def _tiled(percent: int, nearest: int | None):
             yield done(rest)
 
     def done(table):
-        tile = np.stack([table.column(c).to_numpy() for c in ("key", "band", "x", "y")])
-        cut = np.concatenate([[0], np.flatnonzero((tile[:, 1:] != tile[:, :-1]).any(axis=0)) + 1, [table.num_rows]]).tolist()
+        tile = np.concatenate([[0], np.cumsum(starts(table))])
         ids, n, comp, side = (table.column(c).to_numpy() for c in ("set", "n", "comp", "side"))
-        bits, found = table.column("bits").to_pylist(), set()
-        for i, j in zip(cut[:-1], cut[1:], strict=True):
-            found.update(_tile_pairs(ids[i:j], n[i:j], comp[i:j], side[i:j], bits[i:j], percent, nearest))
-        a = np.array(list(found), dtype=np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(a.min(axis=1, initial=2**63 - 1)), pa.array(a.max(axis=1, initial=-(2**63)))], names=["a", "b"])
+        x, y = _tile_pairs(tile, ids, n, comp, side, table.column("bits"), percent, nearest)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
     return pairs
 

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import sys
 import unicodedata
 import zlib
 from collections import defaultdict
@@ -80,6 +81,67 @@ def test_ngram_join_of_an_empty_table(spark):
     assert ngram_join.jaccard_components(frame(spark, [(1, None, "a"), (2, "", "b")])).orderBy("doc_id").collect() == [(1, 0, 1), (2, 0, 2)]
 
 
+def tiles_of(rng, keys, lone):
+    """Rows (key, band, x, y, set, n, comp, side, bits) of small tiles over near copies of unlike sizes, sorted by tile."""
+    held = []
+    for _ in range(60):
+        base = [rng.getrandbits(64) for _ in range(rng.choice([1, 3, 20, 63, 64, 65, 70, 130, 300]))]
+        for _ in range(5):
+            s = np.unique(np.array([rng.getrandbits(64) if rng.random() < 0.06 else x for x in base], np.uint64))
+            held.append((rng.getrandbits(62) - 2**61, len(s), rng.randrange(5), ngram_join.parity_bits(s).tobytes()))
+    rows = []
+    for k in range(keys):
+        at = rng.randrange(len(held) - 8)
+        for i, n, comp, bits in rng.sample(held[at : at + 8], rng.randrange(2, 5)):
+            rows += [(k // 2, k % 2, 0, 0, i, n, comp, side, bits) for side in ([2] if lone(k) else rng.choice([[0], [1], [0, 1]]))]
+    return rows
+
+
+def tile_batches(rows):
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["key", "band", "x", "y", "set", "n", "comp", "side", "bits"]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names).to_batches(max_chunksize=997)
+
+
+@pytest.mark.parametrize("nearest", [None, 1, 2])
+@pytest.mark.parametrize("most", [1, 1 << 18])
+def test_ngram_tiles_give_the_pairs_of_each_tile(nearest, most, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PAIRS", most, raising=False)
+    rows = tiles_of(random.Random(3), 900, lambda k: k % 3 > 0)
+    want = set()
+    for _, tile in itertools.groupby(rows, key=lambda r: r[:4]):
+        tile = list(tile)
+        for _, _, _, _, a, na, ca, sa, x in tile:
+            near = []
+            for _, _, _, _, b, nb, cb, sb, y in tile:
+                low = min(len(x), len(y))
+                fold = lambda z, low=low: z if len(z) == low else bytes(p ^ q for p, q in zip(z[:low], z[low:], strict=True))
+                if sa != 1 and sb != 0 and ca != cb and (na, a) < (nb, b) and 100 * na >= 80 * nb:
+                    differ = (int.from_bytes(fold(x)) ^ int.from_bytes(fold(y))).bit_count()
+                    if 180 * ((na + nb - differ) // 2) >= 80 * (na + nb):
+                        near.append((differ, b))
+            want |= {(min(a, b), max(a, b)) for _, b in sorted(near)[:nearest]}
+    got = [p for out in ngram_join._tiled(80, nearest)(iter(tile_batches(rows))) for p in zip(*(c.to_pylist() for c in out.columns), strict=True)]
+    assert set(got) == want and len(want) > 50
+
+
+def test_ngram_tiles_are_not_compared_one_by_one():
+    """Most keys are held by two or three sets: a call for each of their tiles would cost more than all comparisons."""
+    rows, calls = tiles_of(random.Random(4), 6000, lambda k: True), [0]
+
+    def count(frame, event, arg):
+        calls[0] += event == "call"
+
+    batches = tile_batches(rows)
+    sys.setprofile(count)
+    try:
+        for _ in ngram_join._tiled(80, 3)(iter(batches)):
+            pass
+    finally:
+        sys.setprofile(None)
+    assert calls[0] < 3000
+
+
 def lines_by_force(rows):
     key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(LOWER)
     held = defaultdict(set)
