@@ -200,17 +200,18 @@ def exact_ranks(df: DataFrame, key: str, value: str, picks: dict[str, Column], s
 
     Equal values are counted first. Approximate splits deal a key's values to buckets, counts of buckets tell the one that holds the
     place, and only that bucket's distinct values are ranked; so no key is sorted or gathered as a whole, and ranks are exact.
+    Splits differ from one evaluation to the next, so a bucket is handed on as its least and most value, never as its number.
     """
     each = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("c"))
     cuts = each.groupBy(key).agg(F.sum("c").alias("n"), F.percentile_approx(value, [i / splits for i in range(1, splits)], 10 * splits).alias("cuts"))
     cuts = cuts.select(F.col(key).alias("_key"), "n", F.array_distinct("cuts").alias("cuts"))
     dealt = each.join(cuts, each[key].eqNullSafe(F.col("_key"))).select(key, value, "c", "n", F.size(F.filter("cuts", lambda x: x < F.col(value))).alias("bucket"))
     upto = Window.partitionBy(key).orderBy("bucket")
-    sizes = dealt.groupBy(key, "bucket", "n").agg(F.sum("c").alias("c")).withColumn("before", F.sum("c").over(upto) - F.col("c"))
-    wanted = sizes.select(key, "bucket", "before", F.explode(F.array(*[F.struct(F.lit(name).alias("pick"), place.cast("long").alias("place")) for name, place in picks.items()])).alias("w"), "c")
-    wanted = wanted.where((F.col("w.place") > F.col("before")) & (F.col("w.place") <= F.col("before") + F.col("c"))).select(F.col(key).alias("_key"), F.col("bucket").alias("_bucket"), "before", "w.pick", "w.place")
-    near = dealt.join(wanted, dealt[key].eqNullSafe(wanted["_key"]) & (dealt["bucket"] == wanted["_bucket"]))
-    rank = F.col("before") + F.sum("c").over(Window.partitionBy(key, "bucket", "pick").orderBy(value))
+    sizes = dealt.groupBy(key, "bucket", "n").agg(F.sum("c").alias("c"), F.min(value).alias("low"), F.max(value).alias("high")).withColumn("before", F.sum("c").over(upto) - F.col("c"))
+    wanted = sizes.select(key, "low", "high", "before", F.explode(F.array(*[F.struct(F.lit(name).alias("pick"), place.cast("long").alias("place")) for name, place in picks.items()])).alias("w"), "c")
+    wanted = wanted.where((F.col("w.place") > F.col("before")) & (F.col("w.place") <= F.col("before") + F.col("c"))).select(F.col(key).alias("_key"), "low", "high", "before", "w.pick", "w.place")
+    near = each.join(wanted, each[key].eqNullSafe(wanted["_key"]) & each[value].between(F.col("low"), F.col("high")))
+    rank = F.col("before") + F.sum("c").over(Window.partitionBy(key, "pick").orderBy(value))
     hit = near.withColumn("rank", rank).where((F.col("place") <= F.col("rank")) & (F.col("place") > F.col("rank") - F.col("c")))
     return hit.groupBy(key).agg(*[F.max(F.when(F.col("pick") == name, F.col(value))).alias(name) for name in picks])
 

@@ -86,3 +86,13 @@ def test_clamped_walk_equals_a_walk(spark):
     for size in (1, 7, 1000):
         got = r.clamped_walk(spark.createDataFrame(rows, "k string, i int, bad boolean").repartition(3), "k", ["i"], F.when(F.col("bad"), -25).otherwise(5), 10, 100, 100, F.floor(F.col("i") / size))
         assert {x["k"]: x["last"] for x in got.collect()} == want
+
+
+def test_exact_ranks_hold_where_splits_differ_from_one_evaluation_to_the_next(spark, monkeypatch):
+    """At size the order in which approximate splits are merged isn't fixed; here they are moved at random each time they are computed."""
+    real, n = F.percentile_approx, 2000
+    moved = F.udf(lambda cuts: sorted(c + random.uniform(-30, 30) for c in cuts), "array<double>").asNondeterministic()
+    monkeypatch.setattr(r.F, "percentile_approx", lambda *a: moved(real(*a)))
+    df = spark.range(0, n, 1, 4).select(F.lit("a").alias("k"), ((F.col("id") * 7) % n).cast("double").alias("v"))
+    row = r.exact_ranks(df, "k", "v", {f"p{i}": F.lit(n * i // 20) for i in range(1, 20)}, 16).first()
+    assert [row[f"p{i}"] for i in range(1, 20)] == [n * i // 20 - 1 for i in range(1, 20)]
