@@ -43,3 +43,17 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_entry_gives_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["q_x20_kept_text"])
+def test_titles_that_end_inside_a_reference_equal_sql(spark, tmp_path, name):
+    ends = ["&quot", "&quo", "&qu", "&amp", "&am", "&a", "&", "&quot;", "&copy", "&lt", "&#3", "&amp;quot"]
+    pages = [(i, f"https://x/{i}", f"<html><head><title>token = {e}</title></head><body><h1>token = {e}</h1><p>a &amp; b {e}</p><footer>&copy; 2024 &middot; us</footer></body></html>") for i, e in enumerate(ends)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    c = duckdb.connect()
+    c.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    df = entry.queries()[name](spark, str(tmp_path))
+    r = c.execute(entry.oracle_sql()[name])
+    have = [x[0] for x in r.description]
+    want = sorted((dict(zip(have, map(plain, row), strict=True)) for row in r.fetchall()), key=repr)
+    assert sorted(({h: plain(row[h]) for h in have} for row in df.collect()), key=repr) == want
