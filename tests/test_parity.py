@@ -45,7 +45,7 @@ def test_entry_gives_rows(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["q_x20_kept_text"])
+@pytest.mark.parametrize("name", ["q_x20_kept_text", "q_x32_metadata"])
 def test_titles_that_end_inside_a_reference_equal_sql(spark, tmp_path, name):
     ends = ["&quot", "&quo", "&qu", "&amp", "&am", "&a", "&", "&quot;", "&copy", "&lt", "&#3", "&amp;quot"]
     pages = [(i, f"https://x/{i}", f"<html><head><title>token = {e}</title></head><body><h1>token = {e}</h1><p>a &amp; b {e}</p><footer>&copy; 2024 &middot; us</footer></body></html>") for i, e in enumerate(ends)]
