@@ -11,11 +11,14 @@ def rolling_failures(df: DataFrame, key: str, seconds: str, bad: str, span: int,
 
     A key may hold a third of all rows: rows are counted by (key, second) before the shuffle by key, and the windows run over these
     counts. Rows of one second see each other. Null times and null keys count as keys and times of their own; a null `bad` is no error.
+    A frame with a moving start is summed anew at every row; so each count comes again as a loss when it leaves, and running sums do.
     """
-    counts = df.groupBy(key, seconds).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(bad)).alias("_e"))
-    own = Window.partitionBy(key).orderBy(seconds)
-    near, sofar = own.rangeBetween(-span, 0), own.rangeBetween(Window.unboundedPreceding, 0)
-    rates = counts.select(key, seconds, F.sum("_n").over(near).alias("n"), F.sum("_e").over(near).alias("errors"))
+    counts = df.groupBy(key, seconds).agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col(bad)).alias("_e")).withColumn("_own", F.lit(True))
+    lost = counts.where(F.col(seconds).isNotNull()).select(key, (F.col(seconds).cast("bigint") + span + 1).alias(seconds), (-F.col("_n")).alias("_n"), (-F.col("_e")).alias("_e"), F.lit(False).alias("_own"))
+    sofar = Window.partitionBy(key).orderBy(seconds).rangeBetween(Window.unboundedPreceding, 0)
+    # Rows without a time come first, and see each other only.
+    near = lambda c: F.when(F.col(seconds).isNull(), F.col(c)).otherwise(F.sum(F.when(F.col(seconds).isNotNull(), F.col(c))).over(sofar))
+    rates = counts.unionByName(lost).select(key, seconds, "_own", near("_n").alias("n"), near("_e").alias("errors")).where("_own").drop("_own")
     rates = rates.withColumn("forced", F.max(F.col("errors") > threshold * F.col("n")).over(sofar))
     right = rates.select(F.col(key).alias("_key"), F.col(seconds).alias("_at"), "n", "errors", "forced")
     return df.join(right, F.col(key).eqNullSafe(F.col("_key")) & F.col(seconds).eqNullSafe(F.col("_at"))).drop("_key", "_at")

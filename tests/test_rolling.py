@@ -1,6 +1,7 @@
 """Trailing failure rates, maturity steps and link, retry and event rules against brute force and small cases."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -26,6 +27,15 @@ def test_rolling_failures_equal_brute_force(spark):
     assert rolling.rolling_failures(df.limit(0), "k", "s", "bad", 10, 0.4).count() == 0
 
 
+def test_rolling_failures_need_no_frame_that_moves(spark):
+    """Spark sums such a frame anew at each row: a key's work would grow with the square of its rows."""
+    df = spark.createDataFrame([(1, "a", 1, True), (2, "a", 12, False)], "i int, k string, s int, bad boolean")
+    got = rolling.rolling_failures(df, "k", "s", "bad", 10, 0.4)
+    frames_used = set(re.findall(r"specifiedwindowframe\(([^()]*)", got._jdf.queryExecution().optimizedPlan().toString()))
+    assert frames_used == {"RangeFrame, unboundedpreceding$"}
+    assert sorted((r.i, r.n, r.errors, r.forced) for r in got.collect()) == [(1, 1, 1, True), (2, 1, 0, True)]
+
+
 def test_maturity_steps_equal_a_fold(spark):
     rng = random.Random(5)
     rows = [(rng.choice("abc"), i, rng.choice([True, True, False, False, None]), rng.choice([None, 1, 2, 3])) for i in range(200)]
