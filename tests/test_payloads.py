@@ -172,3 +172,13 @@ def test_values_that_are_kept_are_not_written_on_every_level(spark):
     df = spark.createDataFrame([(1, nested)], "payload_id long, body string")
     sizes = walk.every_node(df, "body", wanted=lambda x: isinstance(x, dict)).selectExpr("length(to_json(node)) AS n").collect()
     assert len(sizes) == 301 and max(r["n"] for r in sizes) < 200
+
+
+def test_a_container_text_is_read_once(spark):
+    """The filter that follows must not have the patterns matched again; pages with too many containers of a kind or without any give none."""
+    card = '<div class="unit-card apartment">Unit {} 2 bed 1 bath 700 sq ft $1,200 to $1,500</div>'
+    pages = [(1, card.format("A1") + card.format("A2") + card.format("A1")), (2, card.format("A") * 81), (3, "<p>none</p>"), (4, ""), (5, None)]
+    got = html_units.dom_units(spark.createDataFrame(pages, "page_id long, html string"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan.count(p) for p in (html_units.SQFT, html_units.BATHS, html_units.UNIT_NUMBER, html_units.RENT)] == [1] * 4
+    assert sorted((r.page_id, r.pos, r.unit_number, r.rent_low, r.rent_high, r.sqft, r.bedrooms, r.bathrooms) for r in got.collect()) == [(1, 0, "A1", 1200, 1500, "700", "2", "1"), (1, 3, "A2", 1200, 1500, "700", "2", "1")]
