@@ -182,3 +182,12 @@ def test_a_container_text_is_read_once(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert [plan.count(p) for p in (html_units.SQFT, html_units.BATHS, html_units.UNIT_NUMBER, html_units.RENT)] == [1] * 4
     assert sorted((r.page_id, r.pos, r.unit_number, r.rent_low, r.rent_high, r.sqft, r.bedrooms, r.bathrooms) for r in got.collect()) == [(1, 0, "A1", 1200, 1500, "700", "2", "1"), (1, 3, "A2", 1200, 1500, "700", "2", "1")]
+
+
+def test_objects_that_are_no_home_are_not_written_again(spark):
+    """Offers go before they leave the walk, and of homes only what is read is handed on; types as lists are left to the plan."""
+    body = '{"@type": "ApartmentComplex", "name": "A", "containsPlace": [{"@type": "FloorPlan", "name": "P", "photo": "x", "offers": {"@type": "Offer", "price": "1000"}}, {"@type": ["Offer"], "name": "o"}], "s": {"@type": "AggregateOffer"}}'
+    pages = spark.createDataFrame([(1, f'<script type="application/ld+json">{body}</script>')], "page_id long, html string")
+    got = sorted(r[0] for r in html_units.jsonld_nodes(pages, ("Offer", "AggregateOffer"), ("@type", "name", "offers")).selectExpr("to_json(node)").collect())
+    assert got == ['{"@type":"ApartmentComplex","name":"A"}', '{"@type":"FloorPlan","name":"P","offers":{"@type":"Offer","price":"1000"}}', '{"@type":["Offer"],"name":"o"}']
+    assert [(r.floor_plan_name, r.rent_low) for r in html_units.jsonld_offers(pages).collect()] == [("P", 1000)]
