@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from leasegrid.operators import html_units, payloads, walk
 
@@ -191,3 +192,15 @@ def test_objects_that_are_no_home_are_not_written_again(spark):
     got = sorted(r[0] for r in html_units.jsonld_nodes(pages, ("Offer", "AggregateOffer"), ("@type", "name", "offers")).selectExpr("to_json(node)").collect())
     assert got == ['{"@type":"ApartmentComplex","name":"A"}', '{"@type":"FloorPlan","name":"P","offers":{"@type":"Offer","price":"1000"}}', '{"@type":["Offer"],"name":"o"}']
     assert [(r.floor_plan_name, r.rent_low) for r in html_units.jsonld_offers(pages).collect()] == [("P", 1000)]
+
+
+def test_paths_of_generic_lists_are_literals(spark, monkeypatch):
+    """A path that is no literal is parsed for every body; the first list of objects still counts."""
+    bodies = ['[{"unitId": "a1", "rent": 900}]', '{"units": [1], "items": [{"unitId": "b1", "rent": 900}]}', '{"result": {"listings": [{"unitId": "c1", "rent": 900}]}, "data": [{"unitId": "d1", "rent": 900}]}', '{"units": [], "body": {"units": null}}', "no", None]
+    df = spark.createDataFrame(list(enumerate(bodies)), "payload_id int, body string")
+    got = payloads.unit_rows(df, "generic")
+    asked, real = [], F.try_variant_get
+    monkeypatch.setattr(payloads.F, "try_variant_get", lambda value, path, kind: asked.append(path) or real(value, path, kind))
+    payloads._generic_list(F.col("body"))
+    assert asked and all(isinstance(path, str) for path in asked)
+    assert sorted((r.payload_id, r.unit_number) for r in got.collect()) == [(0, "a1"), (1, "b1"), (2, "d1")]
